@@ -2,13 +2,14 @@
 
 A tokenizer whose configuration drops white space and never lets a token span it gives the same ids for a text as
 for its white-space separated words in turn. For such a tokenizer the ids of a word are looked up, so that common
-words are encoded once per worker; any other tokenizer encodes whole texts.
+words are encoded once or twice per worker; any other tokenizer encodes whole texts.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import struct
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -24,6 +25,7 @@ _SPLIT = {"type": "Split", "pattern": {"Regex": _LETTERS}, "behavior": "Removed"
 
 #: Latin-1 letters are single NFC code points with single-character lower case, so these words need no normaliser.
 _SIMPLE = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+").fullmatch
+_MARKS = frozenset(b"!\"#$%&()*+,-./:;=?@[]^_`{}~")
 _L = "a-zß-öø-ÿ"
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[0-9]|[^0-9{_L}]+").findall
 
@@ -31,42 +33,57 @@ _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[0-9]|[^0-9{_L}]+").finda
 _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_LEVEL = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
-CACHED_WORDS = 300_000
-CACHED_PIECES = 300_000
+#: Words kept in each of the two generations of a worker's cache, and the longest such word in bytes.
+CACHED_WORDS = 400_000
 LONGEST_CACHED = 64
 
 
 class _Words(dict):
-    """UTF-8 word -> its ids as little-endian unsigned 32-bit integers."""
+    """UTF-8 word -> its ids as little-endian unsigned 32-bit integers.
+
+    A full cache becomes the old generation; words that are met again move to the new one.
+    """
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
-        self.model = tokenizer.model
-        self.pieces: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self.tokenize = tokenizer.model.tokenize
+        self.old: dict[bytes, bytes] = {}
+
+    def _piece(self, piece: bytes) -> bytes:
+        """Ids of lower-case ASCII letters or of one mark; a piece is a word as well."""
+        ids = self.get(piece)
+        if ids is None:
+            ids = self.old.get(piece)
+            if ids is None:
+                found = [token.id for token in self.tokenize(piece.decode())]
+                ids = struct.pack(f"<{len(found)}I", *found)
+            self[piece] = ids
+        return ids
 
-    def __missing__(self, word: bytes) -> bytes:
+    def _new(self, word: bytes) -> bytes:
+        if word.isalpha():
+            return self._piece(word.lower())
+        if word[:-1].isalpha() and word[-1] in _MARKS:
+            return self._piece(word[:-1].lower()) + self._piece(word[-1:])
         text = word.decode()
-        if len(word) > LONGEST_CACHED:
-            return self._encode(text)
         if _SIMPLE(text) and "<|" not in text:
-            found, pieces = [], self.pieces
+            found = []
             for piece in _PIECES(text.lower()):
-                ids = pieces.get(piece)
-                if ids is None:
-                    own = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
-                    ids = np.array([token.id for token in self.model.tokenize(own)], "<u4").tobytes()
-                    if len(pieces) >= CACHED_PIECES:
-                        pieces.clear()
-                    pieces[piece] = ids
-                found.append(ids)
-            ids = b"".join(found)
+                own = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
+                found += [token.id for token in self.tokenize(own)]
         else:
-            ids = self._encode(text)
+            found = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self._new(word)
+            if len(word) > LONGEST_CACHED:
+                return ids
         if len(self) >= CACHED_WORDS:
+            self.old = dict(self)
             self.clear()
         self[word] = ids
         return ids
