@@ -39,6 +39,7 @@ MESSAGES = (
     "topic string, partition int, offset long, timestamp long, key binary, value binary, "
     "headers array<struct<key: string, value: binary>>"
 )
+MESSAGE_COLUMNS = ("topic", "partition", "offset", "timestamp", "key", "value", "headers")
 OUTCOMES = (
     "topic string, partition int, offset long, destination_id string, outcome string, skip_reason string, stage string, "
     "error string, row_bytes binary, large_json string, cells array<string>"
@@ -218,8 +219,7 @@ def encode_rows(messages: DataFrame, path: RowPath, inserted_at: str | Column |
     """An outcome for each message (columns MESSAGES). inserted_at: a text for all rows, or now, to the microsecond."""
     fixed = inserted_at if isinstance(inserted_at, str) else None
     stamp = F.lit("") if fixed else now_text()
-    names = [f.split(" ", 1)[0] for f in MESSAGES.split(", ")]
-    rows = messages.select(*names, routed("topic", path.topics).alias("destination_id"), stamp.alias("inserted_at"))
+    rows = messages.select(*MESSAGE_COLUMNS, routed("topic", path.topics).alias("destination_id"), stamp.alias("inserted_at"))
     held = messages.sparkSession.sparkContext.broadcast(path)
     return rows.mapInArrow(lambda b: _outcome_batches(b, held.value, fixed), OUTCOMES)
 

@@ -11,7 +11,11 @@ ROOT = str(Path(__file__).resolve().parent.parent)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Puts the repository on the Python path of workers that have it at the same place; elsewhere use --py-files."""
+    """The session in UTC, which texts of times assume, and with the repository on its workers' Python path.
+
+    That holds for workers that have it at the same place; elsewhere use --py-files.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
