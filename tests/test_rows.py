@@ -1,0 +1,192 @@
+import json
+
+import pytest
+
+from weir.functions.avro_write import encode, framed
+from weir.operators.rows import ERROR, LARGE, ROW, RowPath, SKIPPED, encode_rows, failures, outcome_counts, schema_ids, typed_rows, with_routes
+from weir.plans.catalog import CDC_ID, CDC_SCHEMA, FROZEN, TABLES, row_path
+from weir.plans.tables import ColumnSpec, TableSpec
+from weir.plans.transforms import Message, Transform, TransformError, event_time
+
+
+def message(value=b'{"a":1}', key=b'{"user_id":1}', topic="events", headers=None, timestamp=1_700_000_000_123, offset=0):
+    return {"topic": topic, "partition": 0, "offset": offset, "timestamp": timestamp, "key": key, "value": value, "headers": headers}
+
+
+def ce(**extra):
+    return [{"key": k, "value": v} for k, v in {"ce_type": b"t", "ce_id": b"i", **extra}.items()]
+
+
+def outcome(path, *args, **kwargs):
+    return path.outcome(message(*args, **kwargs), FROZEN)
+
+
+def cells(path, *args, **kwargs):
+    found = outcome(path, *args, **kwargs)
+    assert found["outcome"] == ROW, found
+    table = next(iter(path.tables.values()))
+    return dict(zip(table.places, found["cells"], strict=True))
+
+
+def test_json_events():
+    row = cells(row_path("json_events"))
+    assert row["user_id"] == "1" and row["payload"] == '{"a":1}' and row["__schema"] == "{}" and row["__operation"] is None
+    assert row["__event_timestamp"] == "2023-11-14 22:13:20.123000" and row["__inserted_at"] == FROZEN and row["__kafka_topic"] == "events"
+
+
+@pytest.mark.parametrize(("value", "payload"), [(b'"text"', "text"), (b"[1, 2]", "[1,2]"), (b"null", None)])
+def test_scalar_payloads(value, payload):
+    assert cells(row_path("json_events"), value)["payload"] == payload
+
+
+@pytest.mark.parametrize("value", [b"1", b"1.5", b"true"])
+def test_numbers_do_not_fit_a_json_column(value):
+    assert outcome(row_path("json_events"), value)["stage"] == "encode"
+
+
+def test_order_of_checks():
+    path = row_path("cloudevents", skip_invalid_keys=True, skip_decode_errors=True)
+    assert outcome(path, None, b"nope")["skip_reason"] == "empty_value"
+    assert outcome(path, b"", b"nope")["skip_reason"] == "empty_value"
+    assert outcome(path, b"{bad", b"nope", "unrouted")["skip_reason"] == "invalid_key"
+    assert outcome(path, b"{bad", topic="unrouted")["skip_reason"] == "decode_error"
+    assert outcome(path, headers=[{"key": "h", "value": None}])["skip_reason"] == "decode_error"
+    assert outcome(path, topic="unrouted")["skip_reason"] == "decode_error"
+    assert outcome(path, key=b"\xff")["outcome"] == ERROR  # whatever the flags
+    strict = row_path("cloudevents", skip_empty_value=False)
+    for bad in ({"value": None}, {"value": b"{bad"}, {"key": b"nope"}, {"topic": "unrouted"}, {"headers": [{"key": "h", "value": b"\xff"}]}):
+        assert outcome(strict, **bad)["stage"] == "source"
+
+
+def test_missing_key_is_an_empty_object():
+    for key in (None, b""):
+        assert outcome(row_path("json_events"), key=key) == {"outcome": ERROR, "stage": "encode", "error": "user_id is required"}
+
+
+def test_headers_and_ce_columns():
+    row = cells(row_path("cloudevents"), headers=[*ce(), {"key": "ce_type", "value": b"last"}])
+    assert (row["__ce_type"], row["__ce_id"], row["__ce_time"]) == ("last", "i", None)
+    assert outcome(row_path("cloudevents"))["stage"] == "transform"
+    assert cells(row_path("cloudevents_enriched"))["headers"] == "{}"
+    assert cells(row_path("cloudevents_enriched"), headers=ce(x="é".encode()))["headers"] == '{"ce_type":"t","ce_id":"i","x":"é"}'
+
+
+def test_text_keys_are_read_again_by_two_transforms():
+    key = json.dumps('{"user_id": 3}').encode()
+    assert cells(row_path("cloudevents"), key=key, headers=ce())["user_id"] == "3"
+    assert outcome(row_path("cloudevents"), key=b'"x"', headers=ce())["stage"] == "transform"
+    assert outcome(row_path("cloudevents_enriched"), key=key, headers=ce())["stage"] == "transform"
+    assert outcome(row_path("json_events"), key=b"[1]")["stage"] == "transform"
+
+
+def test_json_cdc():
+    path = row_path("json_cdc")
+    key = {"key": b'{"o_orderkey":1}', "topic": "orders"}
+    row = cells(path, b'{"after":{"b":2},"before":{"b":1}}', **key)
+    assert row["payload"] == '{"b":2}' and row["__before"] == '{"b":1}'
+    assert cells(path, b'{"after":null}', **key)["payload"] is None
+    for bad in (b'{"before":{}}', b"[]"):
+        assert outcome(path, bad, **key)["stage"] == "transform"
+
+
+def test_template_columns_override_keys_even_with_null():
+    path = row_path("json_events")
+    assert cells(path, key=b'{"user_id":1,"payload":"mine"}')["payload"] == '{"a":1}'
+    assert cells(path, b"null", key=b'{"user_id":1,"payload":"mine"}')["payload"] is None
+
+
+def test_debezium_and_deny_list():
+    order = {"o_orderkey": 1, "o_orderstatus": "O", "o_totalprice": 1.5, "o_orderdate": 0}
+
+    def body(**change):
+        own = {"before": None, "after": None, "source": {"ts_ms": -1}, "op": "c"} | change
+        parts = [["null", CDC_SCHEMA["fields"][0]["type"][1]], ["null", CDC_SCHEMA["fields"][0]["type"][1]], CDC_SCHEMA["fields"][2]["type"], "string"]
+        return framed(CDC_ID, b"".join(encode(s, own[n]) for s, n in zip(parts, ("before", "after", "source", "op"), strict=True)))
+
+    path = row_path("debezium_unwrap", encoding="avro", schemas={CDC_ID: CDC_SCHEMA}, removed={"orders": ("o_totalprice",)})
+    where = {"key": b'{"o_orderkey":1}', "topic": "orders"}
+    row = cells(path, body(after=order), **where)
+    assert json.loads(row["payload"]) == {"o_orderkey": 1, "o_orderstatus": "O", "o_orderdate": "1970-01-01T00:00:00+00:00"}
+    assert "o_totalprice" not in row["__schema"] and row["__deleted"] == "false" and row["__event_timestamp"] == "1969-12-31 23:59:59.999000"
+    gone = cells(path, body(before=order, op="d"), **where)
+    assert gone["__deleted"] == "true" and json.loads(gone["payload"])["o_orderkey"] == 1
+    assert outcome(path, body(before=order), **where)["stage"] == "transform"  # a deny-list needs an object
+    assert outcome(path, framed(CDC_ID + 1, b""), **where)["stage"] == "source"
+    skipping = row_path("debezium_unwrap", encoding="avro", schemas={CDC_ID: CDC_SCHEMA}, skip_decode_errors=True)
+    assert outcome(skipping, framed(7, b""), **where)["outcome"] == SKIPPED
+    assert outcome(skipping, body(after=order)[:8], **where)["outcome"] == ERROR  # a bad body is never skipped
+
+
+def test_schema_texts():
+    nested = {"fields": [{"name": "a", "type": "long"}, {"name": "b", "type": {"type": "record", "fields": [{"name": "c", "type": "int"}]}}]}
+    assert Transform("avro_events", "c").schema_text("t", nested) == '[{"name":"a","type":"long"},[{"name":"c","type":"int"}]]'
+    for bad in ({"fields": [{"name": "x", "type": "my_fields"}]}, {"fields": [{"name": "x", "type": ["fields"]}]}, {"fields": [{"name": "x"}]}, {}, {"fields": [{"name": "x", "type": 1}]}):
+        with pytest.raises(TransformError):
+            Transform("avro_events", "c").schema_text("t", bad)
+    with pytest.raises(TransformError):
+        Transform("debezium_unwrap", "c").schema_text("t", {"fields": [{"name": "before", "type": ["null"]}]})
+
+
+def test_event_time():
+    assert event_time(-1) == "1969-12-31 23:59:59.999000" and event_time(1.9) == "1970-01-01 00:00:00.001000"
+    for bad in (None, "1", True):
+        with pytest.raises(TransformError):
+            event_time(bad)
+
+
+def test_large_rows():
+    path = row_path("json_events", max_row_bytes=200)
+    found = outcome(path, json.dumps({"a": "x" * 300}).encode())
+    assert found["outcome"] == LARGE and json.loads(found["large_json"])["payload"]["a"] == "x" * 300
+    assert "__operation" not in json.loads(found["large_json"])
+    assert outcome(path, json.dumps("x" * 300).encode())["stage"] == "encode"  # bare text is no JSON document
+
+
+def test_unknown_table():
+    path = RowPath(Transform("json_events", "c"), {"events": "p.d.none"}, {})
+    assert outcome(path)["stage"] == "encode"
+
+
+def test_message_defaults():
+    assert Message("t", 0, 0, 0, {}, {}, None).schema == "{}"
+
+
+def test_frames(spark):
+    rows = [message(offset=0), message(None, offset=1), message(b"{bad", offset=2), message(topic="unrouted", offset=3, headers=ce())]
+    schema = "topic string, partition int, offset long, timestamp long, key binary, value binary, headers array<struct<key: string, value: binary>>"
+    as_row = lambda m: (*[m[c] for c in ("topic", "partition", "offset", "timestamp", "key", "value")], m["headers"] and [tuple(h.values()) for h in m["headers"]])
+    df = spark.createDataFrame([as_row(m) for m in rows], schema)
+    path = row_path("json_events")
+    found = encode_rows(df, path, FROZEN)
+    assert [r["outcome"] for r in found.orderBy("offset").collect()] == [ROW, SKIPPED, ERROR, ERROR]
+    typed = typed_rows(found, path.tables["p.d.events"]).collect()
+    assert len(typed) == 1 and typed[0]["user_id"] == 1 and typed[0]["__kafka_offset"] == 0
+    assert typed_rows(found, path.tables["p.d.events"]).schema["user_id"].metadata["type"] == "INTEGER"
+    assert {r["offset"] for r in failures(found).collect()} == {2, 3}
+    assert sum(r["n"] for r in outcome_counts(found).collect()) == 4
+    routes = {r["offset"]: (r["destination_id"], r["skip_reason"]) for r in with_routes(df, path).collect()}
+    assert routes == {0: ("p.d.events", None), 1: ("p.d.events", "empty_value"), 2: ("p.d.events", None), 3: (None, None)}
+    now = encode_rows(df, path).where("offset = 0").select("cells").first()["cells"][-1]
+    assert len(now) >= 19 and now[10] == "T"
+    assert encode_rows(df.limit(0), path, FROZEN).count() == 0
+
+
+def test_schema_ids(spark):
+    df = spark.createDataFrame([(b"\0\0\0\0\x05x",), (b"\0\0\0\0\x05y",), (b"\0\0\0\0\0\0\0\0\x09",), (b"x",), (None,), (b"\xff" * 9,)], "value binary")
+    assert schema_ids(df) == [5, 9]
+
+
+def test_empty_filter_stays_native(spark):
+    df = spark.createDataFrame([], "topic string, partition int, offset long, timestamp long, key binary, value binary, headers array<struct<key: string, value: binary>>")
+    plan = with_routes(df, row_path("json_events"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_bytes_column(spark):
+    table = TableSpec("p.d.t", (ColumnSpec("y", "BYTES"), *TABLES["json_events"][1:]))
+    path = RowPath(Transform("json_events", "c"), {"events": "p.d.t"}, {"p.d.t": table})
+    df = spark.createDataFrame(
+        [("events", 0, 0, 0, b'{"y":"aGk="}', b"{}", None)],
+        "topic string, partition int, offset long, timestamp long, key binary, value binary, headers array<struct<key: string, value: binary>>",
+    )
+    assert bytes(typed_rows(encode_rows(df, path, FROZEN), table).first()["y"]) == b"hi"
