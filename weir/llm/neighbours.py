@@ -6,9 +6,10 @@ gives the latent space. The learned texts' latent vectors, with their labels, ar
 cosines with all of them are computed block by block, and its nearest neighbours vote, weighted by similarity and by
 how common their label is among all labelled rows.
 
-Learned are at most per_label texts a label and max_texts in all (parameters), chosen by a hash of the text. That
-bounds the decomposition, which one executor or the driver does, and the broadcast: max_texts vectors of rank floats,
-and a projection of terms by rank. All documents are scored, whole.
+Learned are at most per_label texts a label and max_texts in all (parameters), chosen among the labels by a hash of the
+id, so that no other text is moved; equal texts of a label are one. That bounds the decomposition, which the driver
+does, and the broadcasts: max_texts ids, max_texts vectors of rank floats, and a projection of terms by rank. All
+documents are scored, whole.
 
 Defined cases: a null text is an empty one, whose vector is zero: it gets the share of label 1 among labelled rows, as
 does every text if nothing is labelled (0.5 then); labels other than 0 and 1, and null ones, are not learned; a
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.common import map_batches, text_bytes
-from weir.llm.features import gram_counts, labelled_sample, weighted
+from weir.llm.features import gram_counts, weighted
 
 DIMS = 2048
 CLASS_DIMS = 1024
@@ -109,6 +110,21 @@ def _term_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.record_batch([batch.column(0).slice(at, len(rows)), pa.array(rows, pa.binary())], ["label", "counts"])
 
 
+def sampled_labels(labels: DataFrame, per_label: int, total: int) -> tuple[DataFrame, dict[int, int]]:
+    """At most per_label rows (of, label) of each label and total of all, by a hash of the id; and all labels' counts."""
+    totals = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    bound = max(1, min(per_label, total // max(1, len(totals))))
+    hashed = labels.withColumn("hash", F.xxhash64(F.lit("sample"), "of"))
+    parts = [
+        hashed.where((F.col("label") == k) & (F.pmod(F.col("hash"), F.lit(1_000_003)) < min(1.0, 1.2 * bound / n) * 1_000_003)).orderBy("hash", "of").limit(bound)
+        for k, n in sorted(totals.items())
+    ]
+    chosen = labels.limit(0) if not parts else parts[0].drop("hash")
+    for part in parts[1:]:
+        chosen = chosen.union(part.drop("hash"))
+    return chosen, totals
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -121,8 +137,10 @@ def fit(
     """A model of the labels (0 or 1) of the rows of labels for which learn, a condition on doc_id, holds."""
     own = labels.where(F.col(label).isin(0, 1) & (F.lit(True) if learn is None else learn))
     own = own.select(F.col("doc_id").cast("long").alias("of"), F.col(label).cast("int").alias("label")).distinct()
+    chosen, totals = sampled_labels(own, per_label, max_texts)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    sample, totals = labelled_sample(texts.join(own, F.col("doc_id") == F.col("of")).select("label", "text"), "label", per_label, max_texts)
+    # at most max_texts ids are broadcast to the scan, so that no other text is moved
+    sample = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("of")).select("label", "text").distinct()
     rows = map_batches(sample.select("label", "text"), _term_batches, "label int, counts binary").collect()
     dims = DIMS + CLASS_DIMS + _REPEATS
     if not rows:
