@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -10,25 +9,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where a local session names none."""
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="weir-shared-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+from weir.sources.shared import shared_folder
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Writes df once to the shared folder and reads it back: cuts lineage, and a lost executor loses nothing."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/weir-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/weir-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -34,7 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm.common import map_batches, shared_root, text_bytes
+from weir.llm.common import map_batches, text_bytes
+from weir.sources.shared import shared_folder
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -196,7 +197,7 @@ class LineIndex:
 
     def __init__(self, spark: SparkSession, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, shards: int | None = None):
         self.spark, self.min_chars, self.min_docs, self.shards = spark, min_chars, min_docs, shards
-        self.root = f"{shared_root(spark)}/weir-lines-{uuid.uuid4().hex}"
+        self.root = f"{shared_folder(spark)}/weir-lines-{uuid.uuid4().hex}"
         self.version = 0
         self.counts: DataFrame | None = None
         self.filters: DataFrame | None = None

@@ -22,8 +22,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weir.llm.common import map_batches, plan_bytes, shared_root, text_bytes
+from weir.llm.common import map_batches, plan_bytes, text_bytes
 from weir.llm.tokens import default_tokenizer, encoder
+from weir.sources.shared import shared_folder
 
 END_ID = 1
 ROW_GROUP_BYTES = 16 << 20
@@ -123,6 +124,6 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
 def store_and_digest(docs: DataFrame, **options) -> DataFrame:
     """Writes the documents' ids to a new folder in the shared storage, and reads their digests back."""
     spark = docs.sparkSession
-    path = f"{shared_root(spark)}/weir-tokens-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/weir-tokens-{uuid.uuid4().hex}"
     write_tokens(docs, path, **options)
     return token_digests(spark, path)
