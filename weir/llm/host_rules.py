@@ -11,8 +11,8 @@ few rows by the time it is dealt out. Only rejected hosts are joined back, a set
 size allows, and else joins with the skewed side split.
 
 Defined cases: a null or empty text has no words and fails the base rule; a null host has no verdict, whatever its
-documents; repeated rows count once each; an empty table has no hosts; without two hosts that have failures and
-differ, the prior is uniform; other columns of the input are ignored.
+documents; repeated rows count once each; an empty table has no hosts; without failures, or without documents
+that pass, the prior is uniform; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ MAX_REPEAT_PERCENT = 20
 MAX_SYMBOL_PERCENT = 10
 MAX_DUP_LINE_PERCENT = 30
 MAX_HOST_RATE = 0.5
+#: A host of fewer documents is never rejected.
+MIN_HOST_DOCS = 20
 
 _SYMBOLS = b"#*$%&|<>"
 _NOT_COUNTED = bytes([0x20, *range(0x09, 0x0E), *range(0x80, 0xC0)])
@@ -95,24 +97,34 @@ def rule_failed() -> Column:
     return base_failed() | symbols | lines
 
 
-def host_verdicts(counts: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def _prior(k: int, n: int | None, n2: int | None, f: int | None, q: float | None) -> tuple[float, float]:
+    """alpha and beta from sums over hosts: how many, documents, their squares, failures, failures squared by documents.
+
+    The rates' mean is m = f / n. Their spread about it, less what chance gives hosts of one rate, is the correlation
+    rho of two documents of a host, and alpha + beta = 1 / rho - 1.
+    """
+    if not n or f in (0, n):
+        return 1.0, 1.0
+    m = f / n
+    spread = (q - n * m * m) / (m * (1 - m))
+    room = n - n2 / n - (k - 1)
+    if room <= 0:
+        return 1.0, 1.0
+    rho = min(max((spread - (k - 1)) / room, 1e-4), 0.99)
+    return m * (1 / rho - 1), (1 - m) * (1 / rho - 1)
+
+
+def host_verdicts(counts: DataFrame, max_rate: float = MAX_HOST_RATE, min_docs: int = MIN_HOST_DOCS) -> DataFrame:
     """host, n_docs, n_failed, rate (shrunk), low (its lower end) and rejected, for every host that is not null."""
     hosts = counts.where("host is not null").groupBy("host")
     hosts = hosts.agg(F.count(F.lit(1)).alias("n_docs"), F.sum(rule_failed().cast("long")).alias("n_failed"))
-    rate = F.col("n_failed") / F.col("n_docs")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v"))
-    # a beta of mean m and variance v has alpha + beta = m (1 - m) / v - 1
-    weight = F.col("m") * (1 - F.col("m")) / F.col("v") - 1
-    usable = (F.col("v") > 0) & (weight > 0)
-    prior = prior.select(
-        F.when(usable, F.col("m") * weight).otherwise(1.0).alias("alpha"),
-        F.when(usable, (1 - F.col("m")) * weight).otherwise(1.0).alias("beta"),
-    )
-    alpha, beta = prior.first()  # one row: two numbers for all hosts
+    n, f = F.col("n_docs"), F.col("n_failed")
+    sums = hosts.agg(F.count(F.lit(1)).alias("k"), F.sum(n).alias("n"), F.sum(n * n).alias("n2"), F.sum(f).alias("f"), F.sum(f * f / n).alias("q"))
+    alpha, beta = _prior(*sums.first())  # one row: five sums over all hosts
     a, b = F.col("n_failed") + F.lit(alpha), F.col("n_docs") - F.col("n_failed") + F.lit(beta)
     deviation = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
     hosts = hosts.withColumn("rate", a / (a + b)).withColumn("low", a / (a + b) - 2 * deviation)
-    return hosts.withColumn("rejected", F.col("low") > max_rate)
+    return hosts.withColumn("rejected", (F.col("low") > max_rate) & (F.col("n_docs") >= min_docs))
 
 
 def document_counts(docs: DataFrame, host: str = "source") -> DataFrame:
