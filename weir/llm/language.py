@@ -168,7 +168,7 @@ def fit(
     floor = np.zeros(32, np.float32)
     for length in range(32):
         if (lengths == length).sum() >= 30:
-            floor[length] = REJECT_PART * np.quantile(cosines[lengths == length], 0.01)
+            floor[length:] = REJECT_PART * np.quantile(cosines[lengths == length], 0.01)  # longer texts are no farther
     of = np.concatenate([np.full(len(p), i) for i, p in enumerate(parts)])
     return LanguageModel([r["lang"] for r in fitted], np.concatenate(parts), of, idf, floor)
 
