@@ -1,0 +1,123 @@
+import hashlib
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from weir.llm import line_dedup
+from weir.llm.line_dedup import CuckooFilter, LineIndex, apply_index, line_digests
+
+SPACE = " \t\n\x0b\x0c\r"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, min_chars=40, min_docs=5):
+    """(doc_id, n_lines, n_dropped, kept text) of each row."""
+    key = lambda line: line.strip(SPACE).translate(LOWER)
+    docs = defaultdict(set)
+    for doc, text in rows:
+        for line in (text or "").split("\n"):
+            docs[key(line)].add(doc)
+    gone = {k: max((d for d in ds if d is not None), default=None) for k, ds in docs.items() if len(k) >= min_chars and len(ds) >= min_docs}
+    found = []
+    for doc, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if key(x) not in gone or gone[key(x)] == doc]
+        found.append((doc, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return found
+
+
+def digest(found):
+    return sorted(((d if d is not None else -1), n, k, hashlib.sha256(t.encode()).hexdigest()) for d, n, k, t in found)
+
+
+def digests(frame):
+    return sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in frame.collect())
+
+
+def corpus(seed, n=80):
+    rng = random.Random(seed)
+    pool = [f"Shared line number {i} that is long enough to be counted once more" for i in range(12)] + ["é" * 40, "é" * 39, "x" * 39, "A" * 40]
+    rows = []
+    for doc in range(n):
+        lines = []
+        for _ in range(rng.randint(0, 6)):
+            line = rng.choice(pool)
+            lines.append(rng.choice([line, line.upper(), f"  {line}\t", f"{line}\r", f"own line {rng.random()} of document {doc} and nobody else's", ""]))
+        rows.append((doc, "\n".join(lines)))
+    return rows
+
+
+EDGES = [(200, None), (201, ""), (202, "\n\n"), (203, ("Very long line " * 20_000) + "\n" + "x" * 50), (204, "x" * 50), (None, "x" * 50), (None, "x" * 50), (205, "x" * 50), (206, "x" * 50)]
+
+
+@pytest.mark.parametrize("limit", [line_dedup.MAX_FILTER_BYTES, 0])
+def test_equals_brute_force(documents, widened, limit):
+    rows = corpus(1) + EDGES
+    assert digests(line_digests(widened(documents(rows)), max_filter_bytes=limit)) == digest(brute(rows))
+
+
+def test_hot_keys_and_many_shards(documents):
+    rows = [(d, "A line that nearly every one of the documents holds, word for word") for d in range(1500)] + corpus(2)
+    df = documents(rows)
+    index = LineIndex(df.sparkSession, shards=7).insert(df)
+    kept = apply_index(df, index, max_hot_keys=1).collect()
+    assert sorted((r["doc_id"], r["n_dropped"], r["text"]) for r in kept) == sorted((d, k, t) for d, _, k, t in brute(rows))
+
+
+def test_repeated_rows_are_one_document(documents):
+    rows = [(1, "z" * 45)] * 9 + [(2, "z" * 45)]
+    assert all(r["n_dropped"] == 0 for r in line_digests(documents(rows)).collect())
+
+
+def test_insert_and_delete_are_reversible(documents):
+    first, second = corpus(3, 40), [(d + 100, t) for d, t in corpus(4, 40)]
+    a, b = documents(first), documents(second)
+    both = documents(first + second)
+    index = LineIndex(a.sparkSession).insert(a)
+    state = lambda: sorted(map(tuple, index.counts.select("h1", "h2", "n_docs", "keeper").collect()))
+    before = state()
+    index.insert(b)
+    found = sorted((r["doc_id"], r["text"]) for r in apply_index(both, index).collect())
+    assert found == sorted((d, t) for d, _, _, t in brute(first + second))
+    index.insert(b)  # again: nothing is counted twice
+    assert sorted((r["doc_id"], r["text"]) for r in apply_index(both, index).collect()) == found
+    index.delete(b.select("doc_id"))
+    assert state() == before
+    assert sorted((r["doc_id"], r["text"]) for r in apply_index(a, index).collect()) == sorted((d, t) for d, _, _, t in brute(first))
+    fresh = LineIndex(a.sparkSession).insert(a)
+    active = lambda i: {(r["shard"], r["h2"]) for r in i.active().collect()}
+    assert active(index) == active(fresh)
+    for r in index.filters.collect():
+        keys = np.array([h for s, h in active(index) if s == r["shard"]], np.int64)
+        assert CuckooFilter.from_bytes(bytes(r["bits"])).contains(keys.view(np.uint64)).all()
+
+
+def test_empty_table(documents):
+    empty = documents([(1, "x")]).limit(0)
+    assert line_digests(empty).count() == 0
+    index = LineIndex(empty.sparkSession).insert(empty)
+    assert index.counts.count() == 0 and index.delete(empty.select("doc_id")).counts.count() == 0
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 2**64 - 1), unique=True, max_size=300), st.integers(0, 300))
+def test_cuckoo_filter(keys, removed):
+    filt = CuckooFilter.of(np.array(keys, np.uint64).view(np.int64)) if keys else CuckooFilter.sized(0)
+    gone, left = keys[:removed], keys[removed:]
+    assert len(keys) == 0 or filt.contains(np.array(keys, np.uint64)).all()
+    assert all(filt.delete(k) for k in gone)
+    again = CuckooFilter.from_bytes(filt.to_bytes())
+    assert not left or again.contains(np.array(left, np.uint64)).all()
+    assert int((again.table > 0).sum()) == len(left)
+
+
+def test_cuckoo_filter_is_small_and_rarely_wrong():
+    rng = np.random.default_rng(0)
+    keys = rng.integers(0, 2**63, 50_000, dtype=np.int64)
+    filt = CuckooFilter.of(np.unique(keys))
+    others = rng.integers(0, 2**63, 200_000, dtype=np.int64).view(np.uint64)
+    assert filt.contains(others).mean() < 0.001 and len(filt.to_bytes()) < 6 * len(keys)

@@ -1,0 +1,112 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from weir.llm import secrets
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+ACCESS, HEX = re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]+")
+
+
+def base_spans(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text or "") if len(m[2]) >= 12]
+    found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text or "") if len(m[0]) >= 18]
+    found += [(m.start(), 2, m.end()) for m in HEX.finditer(text or "") if len(m[0]) >= 16]
+    return sorted(found)
+
+
+def named(spans):
+    return [(s, ("assign", "access", "hex")[k], e) for s, k, e in spans]
+
+
+def scanned(df):
+    return {r["doc_id"]: r for r in secrets.find_secrets(df).collect()}
+
+
+def as_tuples(spans):
+    return [(s["start"], s["kind"], s["end"]) for s in spans]
+
+
+def random_text(rng):
+    parts = ["password", "TOKEN", "api_key", "apikey", "Secret", "=", ": ", '"', "'", " ", "\n", "\n\n", "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "x", "é", "😀", "short", "longervalue123",
+             "user=bob1", "https://h.example.com/p", "db.internal", "me@mail.example.com", "key=abc123", ".", "-"]
+    return "".join(rng.choice(parts) for _ in range(rng.randint(0, 60)))
+
+
+def test_base_spans_equal_brute_force(documents):
+    rng = random.Random(5)
+    texts = [random_text(rng) for _ in range(400)] + [None, "", "token=secret:abcdefghijklmnop", "token = " + "a" * 12, "AKIA" * 9, "0" * 15, "0" * 100_000, "é😀token=" + "z" * 20]
+    found = scanned(documents(texts))
+    assert len(found) == len(texts)
+    for n, text in enumerate(texts):
+        want = named(base_spans(text))
+        assert as_tuples(found[n]["base_spans"]) == want, text
+        assert [found[n]["n_assign"], found[n]["n_access"], found[n]["n_hex"]] == [sum(w[1] == k for w in want) for k in ("assign", "access", "hex")]
+        assert set(want) <= set(as_tuples(found[n]["spans"]))
+
+
+@pytest.mark.parametrize(
+    ("text", "added"),
+    [
+        ("user=alice then password=short1", ["id", "key"]),
+        ("user=alice alone", []),
+        ("https://db.example.com/x alone", []),
+        ("password=short1 alone", []),
+        ("password=short1 at https://db.example.com/x", ["key", "endpoint"]),
+        ("user=alice\n \n\npassword=short1", []),  # another scope
+        ("user=alice " + "x " * 150 + "password=short1", []),  # out of reach
+        ("AKIAABCDEFGHIJKLMN and pass=hidden", ["key"]),
+        ("user=alice uses 0123456789abcdef", ["id"]),
+        ("me@mail.example.com token = 0123456789abcdef0123", ["id"]),
+    ],
+)
+def test_weak_parts_need_a_complement(documents, text, added):
+    row = scanned(documents([text]))[0]
+    assert [s["kind"] for s in row["spans"] if s["kind"] not in ("assign", "access", "hex")] == added
+
+
+def linked(text, reach=secrets.REACH):
+    """Brute force over all pairs of parts."""
+    parts = []
+    for kind, pattern in zip(secrets.KINDS, (secrets.ASSIGN, secrets.ACCESS, secrets.HEX, secrets.ID, secrets.KEY, secrets.ENDPOINT), strict=True):
+        flags = re.A
+        for m in re.compile(pattern, flags).finditer(text):
+            own = "key" if kind == "assign" and len(m[2]) < 12 else kind
+            parts.append((m.start(), m.end(), own, len(re.findall(secrets.BREAK, text[: m.start()]))))
+    found = []
+    for n, (s, e, k, scope) in enumerate(parts):
+        near = {p[2] for i, p in enumerate(parts) if i != n and p[3] == scope and p[0] <= e + reach and p[1] >= s - reach}
+        weak = (k in ("id", "endpoint") and near & {"assign", "hex", "key"}) or (k == "key" and near & {"id", "endpoint", "access"})
+        if k in ("assign", "access", "hex") or weak:
+            found.append((s, k, e))
+    return sorted(found, key=lambda x: (x[0], secrets.KINDS.index(x[1]), x[2]))
+
+
+def test_links_equal_brute_force(documents):
+    rng = random.Random(9)
+    texts = [random_text(rng) for _ in range(300)]
+    found = scanned(documents(texts))
+    for n, text in enumerate(texts):
+        assert as_tuples(found[n]["spans"]) == linked(text), text
+
+
+def test_digests(documents):
+    text = "token = abcdefghijkl 0123456789abcdef"
+    row = secrets.secret_digests(documents([text, None])).orderBy("doc_id").collect()
+    joined = ",".join(f"{k}:{s}:{e}" for s, k, e in named(base_spans(text)))
+    assert row[0]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest() and row[0]["spans"] == joined
+    assert row[1]["base_sha256"] == hashlib.sha256(b"").hexdigest() and row[1]["spans"] == ""
+
+
+def test_rows_nulls_and_columns(documents, widened):
+    rows = [(1, "token=abcdefghijkl"), (1, "token=abcdefghijkl"), (None, "token=abcdefghijkl"), (2, None), (None, None)]
+    found = secrets.secret_digests(widened(documents(rows))).collect()
+    assert sorted((r["doc_id"] or 0, r["n_assign"]) for r in found) == [(0, 0), (0, 1), (1, 1), (1, 1), (2, 0)]
+    assert secrets.secret_digests(documents(rows).limit(0)).count() == 0
+
+
+def test_native_and_one_shuffle(documents):
+    plan = secrets.secret_digests(documents(["x"]))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and plan.count("Exchange") == 1

@@ -38,6 +38,13 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan; exact file sizes for a table that was just written."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+#: Above this, Catalyst's estimate is its default for sources of unknown size.
+_KNOWN_BYTES = 1 << 52
+
+
+def input_bytes(docs: DataFrame) -> int:
+    """How large an input with a text column is: its files' size where the plan knows it, else the texts' bytes."""
+    estimate = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate < _KNOWN_BYTES:
+        return estimate
+    return docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weir.llm.common import map_batches, plan_bytes, text_bytes
+from weir.llm.common import input_bytes, map_batches, text_bytes
 from weir.llm.tokens import default_tokenizer, encoder
 from weir.sources.shared import shared_folder
 
@@ -68,7 +68,7 @@ def write_tokens(
 ) -> None:
     """Writes the ids of every document below path: a file a shard, doc_id ascending within and across the shards."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shards = shards or max(1, -(-plan_bytes(docs) // SHARD_BYTES))
+    shards = shards or max(1, -(-input_bytes(docs) // SHARD_BYTES))
     dealt = rows.repartitionByRange(shards, F.col("doc_id"), F.xxhash64("text"))
     dealt = dealt.sortWithinPartitions(F.col("doc_id"), F.xxhash64("text"), F.col("text"))
     tokenizer = tokenizer or default_tokenizer()
