@@ -14,7 +14,7 @@ def message(value=b'{"a":1}', key=b'{"user_id":1}', topic="events", headers=None
 
 
 def ce(**extra):
-    return [{"key": k, "value": v} for k, v in {"ce_type": b"t", "ce_id": b"i", **extra}.items()]
+    return list({"ce_type": b"t", "ce_id": b"i", **extra}.items())
 
 
 def outcome(path, *args, **kwargs):
@@ -50,11 +50,11 @@ def test_order_of_checks():
     assert outcome(path, b"", b"nope")["skip_reason"] == "empty_value"
     assert outcome(path, b"{bad", b"nope", "unrouted")["skip_reason"] == "invalid_key"
     assert outcome(path, b"{bad", topic="unrouted")["skip_reason"] == "decode_error"
-    assert outcome(path, headers=[{"key": "h", "value": None}])["skip_reason"] == "decode_error"
+    assert outcome(path, headers=[("h", None)])["skip_reason"] == "decode_error"
     assert outcome(path, topic="unrouted")["skip_reason"] == "decode_error"
     assert outcome(path, key=b"\xff")["outcome"] == ERROR  # whatever the flags
     strict = row_path("cloudevents", skip_empty_value=False)
-    for bad in ({"value": None}, {"value": b"{bad"}, {"key": b"nope"}, {"topic": "unrouted"}, {"headers": [{"key": "h", "value": b"\xff"}]}):
+    for bad in ({"value": None}, {"value": b"{bad"}, {"key": b"nope"}, {"topic": "unrouted"}, {"headers": [("h", b"\xff")]}):
         assert outcome(strict, **bad)["stage"] == "source"
 
 
@@ -64,7 +64,7 @@ def test_missing_key_is_an_empty_object():
 
 
 def test_headers_and_ce_columns():
-    row = cells(row_path("cloudevents"), headers=[*ce(), {"key": "ce_type", "value": b"last"}])
+    row = cells(row_path("cloudevents"), headers=[*ce(), ("ce_type", b"last")])
     assert (row["__ce_type"], row["__ce_id"], row["__ce_time"]) == ("last", "i", None)
     assert outcome(row_path("cloudevents"))["stage"] == "transform"
     assert cells(row_path("cloudevents_enriched"))["headers"] == "{}"
@@ -154,7 +154,7 @@ def test_message_defaults():
 def test_frames(spark):
     rows = [message(offset=0), message(None, offset=1), message(b"{bad", offset=2), message(topic="unrouted", offset=3, headers=ce())]
     schema = "topic string, partition int, offset long, timestamp long, key binary, value binary, headers array<struct<key: string, value: binary>>"
-    as_row = lambda m: (*[m[c] for c in ("topic", "partition", "offset", "timestamp", "key", "value")], m["headers"] and [tuple(h.values()) for h in m["headers"]])
+    as_row = lambda m: tuple(m[c] for c in ("topic", "partition", "offset", "timestamp", "key", "value", "headers"))
     df = spark.createDataFrame([as_row(m) for m in rows], schema)
     path = row_path("json_events")
     found = encode_rows(df, path, FROZEN)

@@ -20,7 +20,10 @@ DEEPEST = 127
 #: Classes of a parse error, by which a lenient reader decides whether to repair the text.
 SYNTAX, SURROGATE, CONTROL = "syntax", "surrogate", "control"
 
-_LONG_OR_MINUS_ZERO = re.compile(r"\d{19}|-0(?![.\d])").search
+#: What the C decoder would read otherwise: long integers, -0, floats that may overflow, escapes of half a pair.
+_SPECIAL = re.compile(r"\d{19}|-0(?![.\d])|[eE]\+?\d{3}|\\u[dD][89a-fA-F]").search
+#: Floats that json.dumps prints otherwise; in a text member this only costs time.
+_REWRITTEN = re.compile(r"\de[+-]\d|NaN|Infinity").search
 _SURROGATE_ESCAPE = re.compile(r"\\u[dD][89abAB][0-9a-fA-F]{2}|\\u[dD][c-fC-F][0-9a-fA-F]{2}").search
 _ESCAPES = re.compile(r"\\(?:u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}|u[dD][89a-fA-F][0-9a-fA-F]{2}|.)", re.S)
 _CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f]")
@@ -55,7 +58,7 @@ def _float(digits: str) -> float:
     return value
 
 
-_FAST = json.JSONDecoder(parse_constant=_refuse, parse_float=_float)
+_FAST = json.JSONDecoder(parse_constant=_refuse)
 _EXACT = json.JSONDecoder(parse_constant=_refuse, parse_float=_float, parse_int=_integer)
 
 
@@ -82,10 +85,10 @@ def parse(text: str) -> Any:
     """The value of a JSON text; raises JsonError."""
     if text.count("[") + text.count("{") > DEEPEST and _depth(text) > DEEPEST:
         raise JsonError("nested too deeply")
-    lone = _lone_surrogate(text)
-    decoder = _EXACT if _LONG_OR_MINUS_ZERO(text) else _FAST
+    special = _SPECIAL(text) is not None
+    lone = _lone_surrogate(text) if special else -1
     try:
-        value = decoder.decode(text)
+        value = (_EXACT if special else _FAST).decode(text)
     except json.JSONDecodeError as error:
         if 0 <= lone < error.pos:
             raise JsonError("lone surrogate", SURROGATE) from None
@@ -134,14 +137,6 @@ def float_text(value: float) -> str:
 _string = json.encoder.encode_basestring
 
 
-def _has_float(value: Any) -> bool:
-    if type(value) is dict:
-        return any(map(_has_float, value.values()))
-    if type(value) is list:
-        return any(map(_has_float, value))
-    return type(value) is float
-
-
 _plain = json.JSONEncoder(ensure_ascii=False, separators=(",", ":"), check_circular=False).encode
 
 
@@ -158,4 +153,5 @@ def _write(value: Any) -> str:
 
 def dump(value: Any) -> str:
     """The canonical text of a value."""
-    return _write(value) if _has_float(value) else _plain(value)
+    text = _plain(value)
+    return _write(value) if _REWRITTEN(text) else text

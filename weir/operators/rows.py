@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from weir.functions import avro
 from weir.functions.avro import AvroError, parse_framing
 from weir.functions.canonical import JsonError, dump, parse, parse_lossy
-from weir.functions.coercion import EncodeError, cell, cell_texts, coerce, proto_bytes
+from weir.functions.coercion import EncodeError, cell_texts, coerce, could_exceed, proto_bytes
 from weir.functions.columns import framing_id, is_empty, routed
+from weir.operators.spread import spread
 from weir.plans.config import Config
 from weir.plans.tables import TableSpec
 from weir.plans.transforms import Message, Transform, TransformError
@@ -67,6 +68,8 @@ class RowPath:
     skip_decode_errors: bool = False
     schemas: Mapping[int, Any] = field(default_factory=dict)
     max_row_bytes: int = MAX_STREAM_ROW_BYTES
+    #: Whether rows get their wire bytes; typed columns do without.
+    wire: bool = True
 
     def __post_init__(self):
         self._decoders: dict[int, Any] = {}
@@ -86,7 +89,7 @@ class RowPath:
         return cls(config.transform, s.topics, config.destination.tables, s.encoding, *flags, dict(schemas or {}))
 
     def outcome(self, raw: dict[str, Any], inserted_at: str) -> dict[str, Any]:
-        """The outcome of one message, as the columns of OUTCOMES beyond its coordinates."""
+        """The outcome of one message, as the columns of OUTCOMES beyond its coordinates. Headers are pairs, or None."""
         stage = "source"
         try:
             message, schema_id = self._parse(raw)
@@ -119,7 +122,7 @@ class RowPath:
                 raise SourceError(f"key: {error}") from None
         try:
             schema_id, body = self._value(value)
-            headers = dict(self._header(h) for h in raw["headers"] or ())
+            headers = dict(map(self._header, raw["headers"])) if raw["headers"] else {}
             if raw["topic"] not in self.topics:
                 raise SourceError(f"topic {raw['topic']} is not routed")
         except (SourceError, AvroError, JsonError) as error:
@@ -138,8 +141,8 @@ class RowPath:
         return schema_id, value[at:]
 
     @staticmethod
-    def _header(header: dict[str, Any]) -> tuple[str, str]:
-        name, value = header["key"], header["value"]
+    def _header(header: tuple[str, bytes | None]) -> tuple[str, str]:
+        name, value = header
         try:
             return name, value.decode()
         except (AttributeError, UnicodeDecodeError):
@@ -163,11 +166,12 @@ class RowPath:
         table = self.tables.get(destination)
         if table is None:
             raise EncodeError(f"no table {destination}")
-        values = coerce(table, [(name, cell(value)) for name, value in row.items()])
-        wire = proto_bytes(table, values)
-        if len(wire) > self.max_row_bytes:
+        cells = {k: dump(v) if type(v) is dict or type(v) is list else v for k, v in row.items()}
+        values = coerce(table, cells)
+        wire = proto_bytes(table, values) if self.wire or could_exceed(values, self.max_row_bytes) else None
+        if wire is not None and len(wire) > self.max_row_bytes:
             return {"outcome": LARGE, "large_json": large_json(table, row)}
-        return {"outcome": ROW, "row_bytes": wire, "cells": cell_texts(table, values)}
+        return {"outcome": ROW, "row_bytes": wire if self.wire else None, "cells": cell_texts(table, values)}
 
 
 def large_json(table: TableSpec, row: dict[str, Any]) -> str:
@@ -185,20 +189,26 @@ def large_json(table: TableSpec, row: dict[str, Any]) -> str:
     return dump(found)
 
 
+def _headers(column: pa.ListArray) -> list[list[tuple[str, bytes | None]] | None]:
+    """Each row's headers as pairs, from the flat columns of all rows' headers."""
+    pairs = list(zip(*(f.to_pylist() for f in column.values.flatten()), strict=True))
+    ends = column.offsets.to_pylist()
+    return [pairs[a:b] if there else None for a, b, there in zip(ends[:-1], ends[1:], column.is_valid().to_pylist(), strict=True)]
+
+
 def _outcome_batches(batches: Iterator[pa.RecordBatch], path: RowPath, at: str | None) -> Iterator[pa.RecordBatch]:
     fields = [f.split(" ", 1)[0] for f in OUTCOMES.split(", ")]
     kinds = [pa.string(), pa.int32(), pa.int64(), *[pa.string()] * 5, pa.binary(), pa.string(), pa.list_(pa.string())]
     for batch in batches:
-        own: dict[str, list] = {f: [] for f in fields}
-        stamps = batch.column(batch.schema.names.index("inserted_at")).to_pylist()
-        for raw, stamp in zip(batch.to_pylist(), stamps, strict=True):
-            outcome = path.outcome(raw, at or stamp)
-            for name in fields[:3]:
-                own[name].append(raw[name])
-            own["destination_id"].append(raw["destination_id"])
-            for name in fields[4:]:
-                own[name].append(outcome.get(name))
-        yield pa.record_batch([pa.array(own[f], k) for f, k in zip(fields, kinds, strict=True)], fields)
+        columns = {n: _headers(c) if n == "headers" else c.to_pylist() for n, c in zip(batch.schema.names, batch.columns, strict=True)}
+        stamps = columns.pop("inserted_at")
+        names = tuple(columns)
+        found = [
+            path.outcome(dict(zip(names, raw, strict=True)), at or stamp) for raw, stamp in zip(zip(*columns.values(), strict=True), stamps, strict=True)
+        ]
+        own = [batch.column(names.index(f)) for f in fields[:4]]
+        own += [pa.array([x.get(f) for x in found], k) for f, k in zip(fields[4:], kinds[4:], strict=True)]
+        yield pa.record_batch(own, fields)
 
 
 def with_routes(messages: DataFrame, path: RowPath) -> DataFrame:
@@ -219,7 +229,7 @@ def encode_rows(messages: DataFrame, path: RowPath, inserted_at: str | Column |
     """An outcome for each message (columns MESSAGES). inserted_at: a text for all rows, or now, to the microsecond."""
     fixed = inserted_at if isinstance(inserted_at, str) else None
     stamp = F.lit("") if fixed else now_text()
-    rows = messages.select(*MESSAGE_COLUMNS, routed("topic", path.topics).alias("destination_id"), stamp.alias("inserted_at"))
+    rows = spread(messages).select(*MESSAGE_COLUMNS, routed("topic", path.topics).alias("destination_id"), stamp.alias("inserted_at"))
     held = messages.sparkSession.sparkContext.broadcast(path)
     return rows.mapInArrow(lambda b: _outcome_batches(b, held.value, fixed), OUTCOMES)
 

@@ -19,6 +19,7 @@ from weir.functions.canonical import JsonError, dump, parse, parse_lossy
 from weir.functions.columns import canonical_uuid, event_timestamp, framing_id, header_map, mend_controls, routed
 from weir.operators import delivery
 from weir.operators.rows import OUTCOMES, RowPath, encode_rows, outcome_counts, typed_rows, with_routes
+from weir.operators.spread import spread
 from weir.operators.tables import missing_columns
 from weir.plans.oracle import ORACLE
 from weir.plans.tables import ColumnSpec, TableSpec
@@ -82,7 +83,7 @@ def row_path(transform: str, **options) -> RowPath:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _ms(column: str) -> Column:
@@ -170,7 +171,7 @@ def order_avro(orders: DataFrame, changes: bool = True) -> DataFrame:
 
 
 def _rows(messages: DataFrame, path: RowPath, *columns: str) -> DataFrame:
-    table = next(iter(path.tables.values()))
+    table, path.wire = next(iter(path.tables.values())), False
     found = typed_rows(encode_rows(messages, path, FROZEN), table)
     own = columns or [c.name for c in table.columns if c.name != "__operation"]
     return found.select(*own)

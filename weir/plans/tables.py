@@ -38,7 +38,7 @@ class ColumnSpec:
     default: str | None = None
     number: int = 0
 
-    @property
+    @cached_property
     def wire(self) -> str:
         return WIRE_TYPES.get(self.type, STRING)
 
@@ -62,6 +62,8 @@ class TableSpec:
     partition_field: str | None = None
     places: dict[str, int] = field(init=False, repr=False, compare=False)
     json_places: dict[str, int] = field(init=False, repr=False, compare=False)
+    wires: tuple[str, ...] = field(init=False, repr=False, compare=False)
+    required: tuple[int, ...] = field(init=False, repr=False, compare=False)
 
     def __post_init__(self):
         for c in self.columns:
@@ -73,6 +75,8 @@ class TableSpec:
         object.__setattr__(self, "columns", numbered)
         object.__setattr__(self, "places", {c.name: i for i, c in enumerate(numbered)})
         object.__setattr__(self, "json_places", {json_name(c.name): i for i, c in enumerate(numbered)})
+        object.__setattr__(self, "wires", tuple(c.wire for c in numbered))
+        object.__setattr__(self, "required", tuple(i for i, c in enumerate(numbered) if c.required))
 
     def schema(self) -> T.StructType:
         """The typed schema: required columns are not null, and the declaration is in each field's metadata."""

@@ -88,6 +88,10 @@ def _keys(transform: Transform, message: Message) -> dict[str, Any]:
     return _mapping(keys, "keys")
 
 
+#: Texts of whole seconds, which neighbouring messages share.
+_seconds: dict[int, str] = {}
+
+
 def event_time(ms: Any, what: str = "timestamp") -> str:
     """Epoch milliseconds as text in UTC with six digits of the second."""
     if ms is None:
@@ -96,8 +100,12 @@ def event_time(ms: Any, what: str = "timestamp") -> str:
         raise TransformError(f"{what} is not a number")
     if type(ms) is float or ms >= 1 << 63:
         ms = max(-(1 << 63), min((1 << 63) - 1, int(ms)))
-    text = timestamp_text(ms * 1000, " ")
-    return text if "." in text else f"{text}.000000"
+    seconds, ms = divmod(ms, 1000)
+    if seconds not in _seconds:
+        if len(_seconds) > 10_000:
+            _seconds.clear()
+        _seconds[seconds] = timestamp_text(seconds * 1_000_000, " ")
+    return f"{_seconds[seconds]}.{ms:03d}000"
 
 
 def _debezium(transform: Transform, message: Message) -> dict[str, Any]:
