@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weir.operators.spread import estimated_bytes, spread
 from weir.sources.shared import shared_folder
 
 
@@ -27,10 +28,10 @@ def fold(modulus: int, remainder: int, column: str = "doc_id") -> Column:
 
 
 def map_batches(
-    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema, ordered: bool = False
 ) -> DataFrame:
-    """mapInArrow, for functions of this subpackage: one narrow pass, batch by batch."""
-    return df.mapInArrow(function, schema)
+    """mapInArrow: one narrow pass, batch by batch. A small scan is dealt out to all cores, unless its order counts."""
+    return (df if ordered else spread(df)).mapInArrow(function, schema)
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
@@ -44,7 +45,7 @@ _KNOWN_BYTES = 1 << 52
 
 def input_bytes(docs: DataFrame) -> int:
     """How large an input with a text column is: its files' size where the plan knows it, else the texts' bytes."""
-    estimate = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    estimate = estimated_bytes(docs)
     if estimate < _KNOWN_BYTES:
         return estimate
     return docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0

@@ -5,7 +5,7 @@ document joins a batch of bounded size. Within a batch, partial partitions (one
 merged in order of their spread, the largest sums of one with the smallest of the other, so that opposing imbalances
 cancel. If a window then exceeds the capacity, the window count rises and the batch is differenced again.
 
-Everything is one narrow pass over the documents, without a shuffle: a batch never spans two partitions of the scan,
+Everything is one narrow pass over the documents, without a shuffle (but for files of a few MB, see spread()): a batch never spans two partitions of the scan,
 and what it holds is bounded by its window count, whatever the size of a document or of the corpus. A task that is
 run again meets the same rows in the same order and gives the same windows.
 
@@ -27,12 +27,15 @@ from pyspark.sql import functions as F
 
 from weir.llm.common import map_batches, text_bytes
 from weir.llm.tokens import default_tokenizer, encoder
+from weir.operators.spread import spread
 
 CAPACITY = 4096
 END_ID = 2
 BATCH_WINDOWS = 192
 #: Remainders are cut to pieces of at most this part of the capacity: small items difference to near-equal windows.
 ITEM_PARTS = 4
+#: Input file bytes that a task should have at least, for its last batch to be a small part of its windows.
+SPREAD_BYTES = 4 << 20
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -161,5 +164,6 @@ def pack_documents(
     """
     path = tokenizer or default_tokenizer()
     item = max(1, capacity // item_parts)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_batches(rows, lambda b: _pack_batches(b, path, end_id, capacity, batch_windows, item), SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = spread(rows, F.col("doc_id"), F.xxhash64("text"), F.col("text"), task_bytes=SPREAD_BYTES)
+    return map_batches(rows, lambda b: _pack_batches(b, path, end_id, capacity, batch_windows, item), SCHEMA, ordered=True)

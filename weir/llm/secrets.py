@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weir.operators.spread import spread
+
 REACH = 200
 MIN_ASSIGN_VALUE = 12
 MIN_ACCESS = 18
@@ -72,7 +74,7 @@ def _pieces(kind: int, matches: Column, between: Column, passed=None) -> Column:
 
 def _parts(docs: DataFrame) -> DataFrame:
     """(row, doc_id, kind, place, gap, length, passed): a row a part; one with null kind for a document without any."""
-    rows = docs.select(
+    rows = spread(docs.select("doc_id", "text")).select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),

@@ -215,7 +215,7 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, fanout: int = FANOUT, grou
     for more in done[1:]:
         every = every.union(more.select("mask", "value", "node", "bits"))
     dealt = every.repartition("mask", "value").sortWithinPartitions("mask", "value")
-    return map_batches(dealt, lambda b: _link_batches(b, max_bits, fanout), "u long, v long").distinct()
+    return map_batches(dealt, lambda b: _link_batches(b, max_bits, fanout), "u long, v long", ordered=True).distinct()
 
 
 def _sums(edges: DataFrame) -> tuple:

@@ -32,6 +32,8 @@ PAGE_BYTES = 256 << 10
 PAGE_ROWS = 5_000
 #: Bytes of input files that go to one shard.
 SHARD_BYTES = 32 << 20
+#: With fewer shards than cores, shards are smaller, down to this.
+LEAST_SHARD_BYTES = 2 << 20
 
 SCHEMA = "shard int, doc_id long, n_tokens int, first long, ids array<int>"
 
@@ -68,11 +70,13 @@ def write_tokens(
 ) -> None:
     """Writes the ids of every document below path: a file a shard, doc_id ascending within and across the shards."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shards = shards or max(1, -(-input_bytes(docs) // SHARD_BYTES))
+    if shards is None:
+        size = input_bytes(docs)
+        shards = max(1, -(-size // SHARD_BYTES), min(docs.sparkSession.sparkContext.defaultParallelism, size // LEAST_SHARD_BYTES))
     dealt = rows.repartitionByRange(shards, F.col("doc_id"), F.xxhash64("text"))
     dealt = dealt.sortWithinPartitions(F.col("doc_id"), F.xxhash64("text"), F.col("text"))
     tokenizer = tokenizer or default_tokenizer()
-    ids = map_batches(dealt, lambda b: _encode_batches(b, tokenizer, end_id), SCHEMA)
+    ids = map_batches(dealt, lambda b: _encode_batches(b, tokenizer, end_id), SCHEMA, ordered=True)
     (
         ids.write.option("compression", "zstd")
         .option("parquet.writer.version", "PARQUET_2_0")
