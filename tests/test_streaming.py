@@ -1,4 +1,5 @@
 import json
+import socket
 import urllib.error
 import urllib.request
 from base64 import b64encode
@@ -12,9 +13,9 @@ from weir.plans.catalog import FROZEN, TABLES, row_path
 from weir.plans.tables import ColumnSpec, TableSpec
 from weir.sources.capture import read_capture, stream_capture
 from weir.streaming import engine
-from weir.streaming.engine import RunOptions, Writer, start
+from weir.streaming.engine import RunOptions, Stopper, Writer, options_from_env, start
 from weir.streaming.health import serve
-from weir.streaming.metrics import Metrics, chunked
+from weir.streaming.metrics import Metrics, Progress, chunked, push
 
 
 def write_lines(path, offsets, value=lambda o: {"a": o}):
@@ -153,3 +154,60 @@ def test_metrics_and_health():
             assert error.value.code == status
     finally:
         server.shutdown()
+
+
+def test_statsd_push():
+    with socket.socket(socket.AF_INET, socket.SOCK_DGRAM) as server:
+        server.bind(("127.0.0.1", 0))
+        server.settimeout(5)
+        metrics = Metrics()
+        metrics.add({"rows": 3})
+        push(metrics, *server.getsockname(), every_s=0.05).set()
+        assert b"weir.rows:3|c" in server.recv(9000)
+
+
+def test_options_from_env():
+    env = {"WEIR_RUN_LINGER_MS": "250", "WEIR_RUN_ENSURE_TABLES": "false", "WEIR_RUN_HEALTH_PORT": "9", "ENVIRONMENT": "staging", "OTHER": "x"}
+    options = options_from_env("cp", env)
+    assert (options.linger_s, options.ensure_tables, options.health_port, options.dry_run) == (0.25, False, 9, True)
+    assert options_from_env("cp", {}) == RunOptions("cp")
+
+
+class Query:
+    """A query that is busy for some polls and then idle."""
+
+    def __init__(self, busy, error=None, polls=10**9):
+        self.busy, self.error, self.polls, self.stopped = busy, error, polls, False
+
+    @property
+    def isActive(self):
+        self.polls -= 1
+        return not self.stopped and self.polls > 0
+
+    @property
+    def status(self):
+        self.busy -= 1
+        return {"isTriggerActive": self.busy > 0}
+
+    def stop(self):
+        self.stopped = True
+
+    def exception(self):
+        return self.error
+
+
+def test_stopper():
+    asked = Stopper(Query(3), sleep=lambda s: None)
+    asked.asked = True
+    assert asked.wait() == 0 and asked.query.stopped and asked.query.busy <= 0
+    stuck = Stopper(Query(10**9), drain_s=1, sleep=lambda s: None)
+    stuck.asked = True
+    assert stuck.wait() == 0 and stuck.query.stopped
+    assert Stopper(Query(0, "failed", polls=3), sleep=lambda s: None).wait() == 1
+
+
+def test_progress():
+    progress = Progress(Metrics())
+    assert not progress.stalled(60) and progress.stalled(0)
+    progress.onQueryTerminated(type("E", (), {"exception": "why"}))
+    assert progress.failed == "why"

@@ -1,4 +1,7 @@
-"""python -m weir.cli run | check-config | capture | smoke"""
+"""python -m weir.cli run | check-config | capture | smoke
+
+run reads its knobs from WEIR_RUN_* variables: see weir.streaming.engine.options_from_env.
+"""
 
 from __future__ import annotations
 
@@ -17,9 +20,9 @@ from weir.plans.config import ENV_PREFIX, Config, load_config
 from weir.session import prepare
 from weir.sources.capture import first_messages, parse_since, read_capture, stream_capture, write_capture
 from weir.sources.kafka import read_kafka, stream_kafka
-from weir.streaming.engine import RunOptions, Stopper, Writer, start
+from weir.streaming.engine import Stopper, Writer, options_from_env, start
 from weir.streaming.health import serve
-from weir.streaming.metrics import Metrics, Progress
+from weir.streaming.metrics import Metrics, Progress, push
 
 
 def _session(name: str) -> SparkSession:
@@ -47,18 +50,26 @@ def check_config(args: argparse.Namespace) -> int:
 def run(args: argparse.Namespace) -> int:
     config = _config(args)
     spark = _session(config.name)
-    options = RunOptions(args.checkpoint, min(args.linger, config.source.consumer_timeout), not args.no_ddl, args.quarantine, args.stall, args.drain, once=args.once, dry_run=args.dry_run)
+    options = options_from_env(args.checkpoint, os.environ)
+    options.linger_s = min(options.linger_s, config.source.consumer_timeout)
+    options.quarantine, options.once = args.quarantine, args.once
     metrics = Metrics(tags={"pipeline": config.name})
     writer = Writer(RowPath.of(config), options, _registry(config, args.schemas), metrics)
-    messages = stream_capture(spark, args.capture) if args.capture else stream_kafka(spark, config.source)
+    if args.capture:
+        messages = stream_capture(spark, args.capture)
+    else:
+        messages = stream_kafka(spark, config.source, max_bytes=options.max_bytes_per_trigger)
     progress = Progress(metrics)
     spark.streams.addListener(progress)
     query = start(messages, writer)
-    server = serve(args.port, metrics, lambda: query.isActive and not progress.stalled(options.stall_s), lambda: query.isActive)
+    ended = push(metrics, args.statsd.rsplit(":", 1)[0], int(args.statsd.rsplit(":", 1)[1])) if args.statsd else None
+    server = serve(options.health_port, metrics, lambda: query.isActive and not progress.stalled(options.stall_s), lambda: query.isActive)
     try:
         return Stopper(query, options.drain_s).install().wait()
     finally:
         server.shutdown()
+        if ended is not None:
+            ended.set()
 
 
 def capture(args: argparse.Namespace) -> int:
@@ -114,13 +125,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--capture", help="a folder of capture files instead of the live source")
     p.add_argument("--schemas", help="a folder of writer schemas instead of the registry")
     p.add_argument("--quarantine", help="where failed messages go, instead of stopping")
-    p.add_argument("--linger", type=float, default=1.0)
-    p.add_argument("--stall", type=float, default=600)
-    p.add_argument("--drain", type=float, default=20)
-    p.add_argument("--port", type=int, default=8080)
-    p.add_argument("--no-ddl", action="store_true")
-    p.add_argument("--once", action="store_true")
-    p.add_argument("--dry-run", action="store_true", default=os.environ.get("ENVIRONMENT", "production") != "production")
+    p.add_argument("--statsd", help="host:port to which counters are pushed")
+    p.add_argument("--once", action="store_true", help="end when what is there is written")
     p = command("capture", capture, "config")
     p.add_argument("--out", required=True)
     p.add_argument("--capture", help="a capture to cut from, instead of the live source")

@@ -131,7 +131,7 @@ SELECT event_id, CASE event_id % 4 WHEN 0 THEN '{"k":"' || event_id || chr(65533
 SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'x' || {_DIGITS} ELSE {_DIGITS}[1:8] || '-' || {_DIGITS}[9:12] || '-' || {_DIGITS}[13:16]
   || '-' || {_DIGITS}[17:20] || '-' || {_DIGITS}[21:32] END AS uuid FROM events""",
     "header_last_wins": """
-SELECT user_id, event_type AS name, max(event_id)::VARCHAR AS value FROM events GROUP BY user_id, event_type""",
+SELECT event_id, 'a,b,c' AS names, (event_id + 3)::VARCHAR AS a, (event_id + 2)::VARCHAR AS b, event_type AS c FROM events""",
     "large_rows": """
 WITH b AS (
   SELECT doc_id, strlen(coalesce(text, '')) AS n, length(doc_id::VARCHAR) AS digits,

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import signal
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,10 +42,29 @@ class RunOptions:
     drain_s: float = 20
     max_rows_per_file: int = 0
     inserted_at: str | None = None
+    max_bytes_per_trigger: int = 64 << 20
+    health_port: int = 8080
     once: bool = False
     dry_run: bool = False
 
 
+#: Run options by the end of their environment variable's name, with the factor to the option's unit.
+_KNOBS = {
+    "LINGER_MS": ("linger_s", 0.001), "ENSURE_TABLES": ("ensure_tables", None), "STALL_S": ("stall_s", 1), "DRAIN_S": ("drain_s", 1),
+    "MAX_ROWS_PER_FILE": ("max_rows_per_file", 1), "MAX_BYTES_PER_TRIGGER": ("max_bytes_per_trigger", 1), "HEALTH_PORT": ("health_port", 1),
+}
+
+
+def options_from_env(checkpoint: str, env: Mapping[str, str], prefix: str = "WEIR_RUN_") -> RunOptions:
+    """Run options from the environment; offsets are kept only if ENVIRONMENT is production or not set."""
+    found: dict[str, Any] = {"dry_run": env.get("ENVIRONMENT", "production") != "production"}
+    for name, (option, factor) in _KNOBS.items():
+        if (text := env.get(prefix + name)) is not None:
+            value = text.strip().lower() in ("1", "true", "yes") if factor is None else float(text) * factor
+            found[option] = int(value) if option in ("max_rows_per_file", "max_bytes_per_trigger", "health_port") else value
+    return RunOptions(checkpoint, **found)
+
+
 class Writer:
     """foreachBatch of a pipeline."""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import socket
 import threading
 import time
 from collections import Counter, defaultdict
@@ -102,6 +103,23 @@ def chunked(lines: list[str], size: int = DATAGRAM_BYTES) -> list[bytes]:
     return found
 
 
+def push(metrics: Metrics, host: str, port: int, every_s: float = 10) -> threading.Event:
+    """Sends datagrams of what has grown, again and again, from a thread; set the event to end it after a last one."""
+    ended = threading.Event()
+
+    def run() -> None:
+        with socket.socket(socket.AF_INET, socket.SOCK_DGRAM) as out:
+            while True:
+                last = ended.wait(every_s)
+                for datagram in metrics.datagrams():
+                    out.sendto(datagram, (host, port))
+                if last:
+                    return
+
+    threading.Thread(target=run, daemon=True).start()
+    return ended
+
+
 class Progress(StreamingQueryListener):
     """Feeds observed counters to metrics, and remembers when the last batch ended."""
 
