@@ -36,7 +36,7 @@ PER_LANGUAGE = 1200
 MAX_TEXTS = 6000
 MAX_CENTROIDS = 3000
 #: A cosine below this part of the lowest hundredth of learned cosines at the same length is too far.
-REJECT_PART = 0.5
+REJECT_PART = 0.4
 TEMPERATURE = 0.05
 UNKNOWN = "und"
 
