@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.functions.avro import decimal_value, uuid_text
+from weir.functions.avro import decimal_value
 from weir.functions.avro_write import encode, framed
 from weir.functions.canonical import JsonError, dump, parse, parse_lossy
 from weir.functions.columns import canonical_uuid, event_timestamp, framing_id, header_map, mend_controls, routed
