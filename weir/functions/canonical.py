@@ -59,6 +59,7 @@ def _float(digits: str) -> float:
 
 
 _FAST = json.JSONDecoder(parse_constant=_refuse)
+_scan = _FAST.scan_once
 _EXACT = json.JSONDecoder(parse_constant=_refuse, parse_float=_float, parse_int=_integer)
 
 
@@ -86,6 +87,13 @@ def parse(text: str) -> Any:
     if text.count("[") + text.count("{") > DEEPEST and _depth(text) > DEEPEST:
         raise JsonError("nested too deeply")
     special = _SPECIAL(text) is not None
+    if not special:
+        try:
+            value, end = _scan(text, 0)
+            if end == len(text):
+                return value
+        except (StopIteration, json.JSONDecodeError, RecursionError):
+            pass  # said below; or white space around the value
     lone = _lone_surrogate(text) if special else -1
     try:
         value = (_EXACT if special else _FAST).decode(text)
@@ -137,7 +145,14 @@ def float_text(value: float) -> str:
 _string = json.encoder.encode_basestring
 
 
-_plain = json.JSONEncoder(ensure_ascii=False, separators=(",", ":"), check_circular=False).encode
+_encoder = json.JSONEncoder(ensure_ascii=False, separators=(",", ":"), check_circular=False)
+#: One C encoder for all values: JSONEncoder.encode() makes one for each.
+_make = json.encoder.c_make_encoder
+_chunks = _make and _make(None, _encoder.default, _string, None, ":", ",", False, False, True)
+
+
+def _plain(value: Any) -> str:
+    return "".join(_chunks(value, 0)) if _chunks else _encoder.encode(value)
 
 
 def _write(value: Any) -> str:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from weir.functions import avro
 from weir.functions.avro import AvroError, parse_framing
 from weir.functions.canonical import JsonError, dump, parse, parse_lossy
-from weir.functions.coercion import EncodeError, cell_texts, coerce, could_exceed, proto_bytes
+from weir.functions.coercion import EncodeError, cell_texts, coerce, could_exceed, proto_bytes, strict_texts
 from weir.functions.columns import framing_id, is_empty, routed
 from weir.operators.spread import spread
 from weir.plans.config import Config
@@ -32,6 +32,7 @@ from weir.plans.tables import TableSpec
 from weir.plans.transforms import Message, Transform, TransformError
 
 MAX_STREAM_ROW_BYTES = 8 << 20
+KEPT_KEYS = 20_000
 
 ROW, LARGE, SKIPPED, ERROR = "row", "large", "skipped", "error"
 EMPTY_VALUE, INVALID_KEY, DECODE_ERROR = "empty_value", "invalid_key", "decode_error"
@@ -73,6 +74,7 @@ class RowPath:
 
     def __post_init__(self):
         self._decoders: dict[int, Any] = {}
+        self._keys: dict[str, Any] = {}
         self._texts: dict[tuple[int, str], str] = {}
 
     def __getstate__(self):
@@ -115,7 +117,7 @@ class RowPath:
             except UnicodeDecodeError:
                 raise SourceError("the key is not UTF-8") from None
             try:
-                keys = parse(text)
+                keys = self._key(text)
             except JsonError as error:
                 if self.skip_invalid_keys:
                     raise Skip(INVALID_KEY) from None
@@ -132,6 +134,16 @@ class RowPath:
         ms = -1 if raw["timestamp"] is None else raw["timestamp"]
         return Message(raw["topic"], raw["partition"], raw["offset"], ms, keys, headers, body), schema_id
 
+    def _key(self, text: str) -> Any:
+        """The value of a key, which is not changed later: keys repeat, so a bounded number of them is kept."""
+        found = self._keys.get(text, self)
+        if found is self:
+            found = parse(text)
+            if len(self._keys) >= KEPT_KEYS:
+                self._keys.clear()
+            self._keys[text] = found
+        return found
+
     def _value(self, value: bytes) -> tuple[int | None, Any]:
         if self.encoding == "utf-8":
             return None, parse_lossy(value)
@@ -166,6 +178,8 @@ class RowPath:
         table = self.tables.get(destination)
         if table is None:
             raise EncodeError(f"no table {destination}")
+        if not self.wire and (texts := strict_texts(table, row, self.max_row_bytes)) is not None:
+            return {"outcome": ROW, "cells": texts}
         cells = {k: dump(v) if type(v) is dict or type(v) is list else v for k, v in row.items()}
         values = coerce(table, cells)
         wire = proto_bytes(table, values) if self.wire or could_exceed(values, self.max_row_bytes) else None
