@@ -10,7 +10,8 @@ TASK_BYTES = 256 << 10
 MOST_BYTES = 128 << 20
 
 
-def _bytes(text: str) -> int:
+def as_bytes(text: str) -> int:
+    """A size as Spark's settings give it."""
     units = {"k": 10, "m": 20, "g": 30, "t": 40}
     text = text.lower().removesuffix("b")
     return int(text[:-1]) << units[text[-1]] if text and text[-1] in units else int(text)
@@ -27,7 +28,7 @@ def _dealt(df: DataFrame) -> bool:
 
 
 def spread(df: DataFrame, *order: Column, task_bytes: int = TASK_BYTES) -> DataFrame:
-    """df dealt out to more tasks if its plan knows it to be small, and the scan gives fewer tasks than cores.
+    """df dealt out to more tasks if its plan knows it to be small, and the scan gives less than half as many tasks as cores.
 
     With an order, rows are dealt out by its first column and sorted by all of it, so that a task that is run again
     meets the same rows in the same order.
@@ -39,7 +40,9 @@ def spread(df: DataFrame, *order: Column, task_bytes: int = TASK_BYTES) -> DataF
     spark = df.sparkSession
     size = estimated_bytes(df)
     wanted = min(spark.sparkContext.defaultParallelism, size // task_bytes)
-    scanned = max(1, size // _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
-    if size > MOST_BYTES or scanned >= wanted or _dealt(df):
+    if size > MOST_BYTES or wanted < 2 or _dealt(df):
+        return df
+    scanned = max(len(df.inputFiles()), size // as_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    if 2 * scanned > wanted:
         return df
     return df.repartition(wanted, order[0]).sortWithinPartitions(*order) if order else df.repartition(wanted)
