@@ -5,12 +5,13 @@ count. A key that is found in at least min_docs documents is active: all its lin
 largest doc_id that holds it (the keeper).
 
 LineIndex keeps, below one folder in shared storage,
-  references  (shard, h1, h2, doc_id): one row for each key and document, appended or deleted by document;
-  counts      (shard, h1, h2, n_docs, keeper): exact reference counts, derived from the references;
-  filters     (shard, bits): a cuckoo filter of the active keys of the shard.
-insert() and delete() change the references of the documents given. A key whose count reaches min_docs enters its
-shard's filter, and one whose count falls below leaves it: texts never change, so every decision can be undone. Each
-change writes a new version of the folder's tables; a failed or repeated job never touches the version in use.
+  references  (h1, h2, doc_id): one row for each key and document
+  counts      (shard, h1, h2, n_docs, keeper): exact reference counts
+  filters     (shard, bits): a cuckoo filter of the active keys of the shard
+insert() adds the references of new documents and their counts; delete() takes references away and counts the keys
+that lost one again. A key whose count reaches min_docs enters its shard's filter, and one whose count falls below
+leaves it: texts never change, so every decision can be undone. Each change writes a new version of what it changes; a
+failed or repeated job never touches the version in use.
 
 Keys are 128-bit hashes; a shard is a residue of the first half, so that shards are even, and their number follows the
 number of keys, so that a filter stays small. Lines probe the filters first; only the few that a filter lets through
@@ -210,48 +211,56 @@ class LineIndex:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _count(self, refs: DataFrame) -> DataFrame:
-        # counts of a key meet map-side partial counts only, whatever the key's share of the documents
-        found = refs.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
-        return found.select(F.pmod(F.col("h1"), F.lit(self.shards)).cast("int").alias("shard"), "h1", "h2", "n_docs", "keeper")
+        # partial counts meet, not references, whatever a key's share of the documents
+        return refs.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
+
+    def _sharded(self, counts: DataFrame) -> DataFrame:
+        return counts.select(F.pmod(F.col("h1"), F.lit(self.shards)).cast("int").alias("shard"), "h1", "h2", "n_docs", "keeper")
 
     def insert(self, docs: DataFrame) -> LineIndex:
-        """Adds the documents' references; of documents that are there already, new ones only."""
-        new = references(docs, self.min_chars).distinct()
+        """Adds documents. One whose doc_id the index has already changes nothing: delete it first."""
+        self.version += 1
         if self.references is None:
-            self.version += 1
-            return self._first(new)
-        old = self.references.select("h1", "h2", "doc_id")
-        return self._change(old.union(new).distinct())
+            self.references = self._write(references(docs, self.min_chars).distinct(), "references")
+            self.n_references = self.references.count()
+            self.shards = self.shards or max(1, -(-self.n_references // KEYS_PER_SHARD))
+            self.counts = self._write(self._sharded(self._count(self.references)), "counts")
+            built = self.active().groupBy("shard").applyInArrow(_build_filter, "shard int, bits binary")
+            self.filters = self._write(built, "filters")
+            return self
+        had = self.references.select(F.col("doc_id").alias("had")).distinct()
+        new = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        new = new.join(had, new["doc_id"].eqNullSafe(had["had"]), "left_anti")
+        added = self._write(references(new, self.min_chars).distinct(), "references")
+        self.references = self.references.union(added)
+        self.n_references += added.count()
+        merged = self.counts.select("h1", "h2", "n_docs", "keeper").union(self._count(added))
+        merged = merged.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
+        return self._changed(merged)
 
     def delete(self, doc_ids: DataFrame) -> LineIndex:
-        """Takes the references of the documents named by doc_id away."""
+        """Takes the documents named by doc_id away."""
         if self.references is None:
             return self
+        self.version += 1
         gone = doc_ids.select(F.col("doc_id").cast("long").alias("gone")).distinct()
-        rows = self.references.select("h1", "h2", "doc_id")
-        return self._change(rows.join(gone, rows["doc_id"].eqNullSafe(gone["gone"]), "left_anti"))
-
-    def _first(self, refs: DataFrame) -> LineIndex:
-        self.references = self._write(refs, "references")
+        same = self.references["doc_id"].eqNullSafe(gone["gone"])
+        lost = self._write(self.references.join(gone, same, "left_semi").select("h1", "h2").distinct(), "lost")
+        self.references = self._write(self.references.join(gone, same, "left_anti"), "references")
         self.n_references = self.references.count()
-        self.shards = self.shards or max(1, -(-self.n_references // KEYS_PER_SHARD))
-        self.counts = self._write(self._count(self.references), "counts")
-        built = self.active().groupBy("shard").applyInArrow(_build_filter, "shard int, bits binary")
-        self.filters = self._write(built, "filters")
-        return self
+        own = self.counts.select("h1", "h2", "n_docs", "keeper")
+        again = self._count(self.references.join(lost, ["h1", "h2"], "left_semi"))
+        return self._changed(own.join(lost, ["h1", "h2"], "left_anti").union(again))
 
-    def _change(self, refs: DataFrame) -> LineIndex:
-        before, self.version = self.active(), self.version + 1
-        self.references = self._write(refs, "references")
-        self.n_references = self.references.count()
-        self.counts = self._write(self._count(self.references), "counts")
+    def _changed(self, counts: DataFrame) -> LineIndex:
+        before = self.active()
+        self.counts = self._write(self._sharded(counts), "counts")
         was = before.select("shard", "h1", "h2", F.lit(True).alias("was"))
         now = self.active().select("shard", "h1", "h2", F.lit(True).alias("now"))
         change = was.join(now, ["shard", "h1", "h2"], "full_outer").where("was is null or now is null")
         change = change.select("shard", "h2", F.col("now").isNotNull().alias("entered"))
-        old = self.filters.groupBy("shard")
-        changed = old.cogroup(change.groupBy("shard")).applyInArrow(_update_filter, "shard int, bits binary")
-        changed = self._write(changed, "changed")
+        changed = self.filters.groupBy("shard").cogroup(change.groupBy("shard"))
+        changed = self._write(changed.applyInArrow(_update_filter, "shard int, bits binary"), "changed")
         full = changed.where("bits is null").select("shard")
         rebuilt = self.active().join(full, "shard", "left_semi").groupBy("shard").applyInArrow(_build_filter, "shard int, bits binary")
         self.filters = self._write(changed.where("bits is not null").union(rebuilt), "filters")
