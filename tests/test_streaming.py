@@ -15,7 +15,7 @@ from weir.sources.capture import read_capture, stream_capture
 from weir.streaming import engine
 from weir.streaming.engine import RunOptions, Stopper, Writer, options_from_env, start
 from weir.streaming.health import serve
-from weir.streaming.metrics import Metrics, Progress, chunked, push
+from weir.streaming.metrics import Metrics, Progress, chunked, lag_by_topic, pipeline_tags, push, worker_tags
 
 
 def write_lines(path, offsets, value=lambda o: {"a": o}):
@@ -211,3 +211,21 @@ def test_progress():
     assert not progress.stalled(60) and progress.stalled(0)
     progress.onQueryTerminated(type("E", (), {"exception": "why"}))
     assert progress.failed == "why"
+
+
+def test_lag_gauges_and_tags():
+    assert lag_by_topic('{"t":{"0":5,"1":7}}', '{"t":{"0":9,"1":7,"2":4},"u":{"0":1}}') == {"t": 4}
+    assert lag_by_topic("3", "5") == lag_by_topic(None, None) == lag_by_topic("x", "{}") == {}
+    source = type("S", (), {"endOffset": '{"t":{"0":5}}', "latestOffset": '{"t":{"0":9}}'})
+    event = type("E", (), {"progress": type("P", (), {"batchDuration": 7, "sources": [source]})})
+    progress = Progress(Metrics(tags={"pipeline": "x"}))
+    progress.onQueryProgress(event)
+    assert 'weir_consumer_lag{topic="t"} 4' in progress.metrics.prometheus()
+    assert b"weir.consumer_lag:4|g|#pipeline:x,topic:t" in b"\n".join(progress.metrics.datagrams())
+    from test_config import BASE, ENV
+
+    from weir.plans.config import load_config
+
+    config = load_config(BASE.replace("  sync_mode", "  stream: s1\n  sync_mode"), ENV)
+    assert worker_tags(config, "h") == {"pipeline": "demo", "kafka_cluster": "c", "pod_name": "h"}
+    assert pipeline_tags(config) == {"pipeline_name": "demo", "pipeline_stream": "s1", "pipeline_source": "kafka", "kafka_cluster": "c"}

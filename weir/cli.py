@@ -22,7 +22,7 @@ from weir.sources.capture import first_messages, parse_since, read_capture, stre
 from weir.sources.kafka import read_kafka, stream_kafka
 from weir.streaming.engine import Stopper, Writer, options_from_env, start
 from weir.streaming.health import serve
-from weir.streaming.metrics import Metrics, Progress, push
+from weir.streaming.metrics import Metrics, Progress, pipeline_tags, push, worker_tags
 
 
 def _session(name: str) -> SparkSession:
@@ -53,7 +53,7 @@ def run(args: argparse.Namespace) -> int:
     options = options_from_env(args.checkpoint, os.environ)
     options.linger_s = min(options.linger_s, config.source.consumer_timeout)
     options.quarantine, options.once = args.quarantine, args.once
-    metrics = Metrics(tags={"pipeline": config.name})
+    metrics = Metrics(tags=worker_tags(config, os.environ.get("HOSTNAME")), table_tags=pipeline_tags(config))
     writer = Writer(RowPath.of(config), options, _registry(config, args.schemas), metrics)
     if args.capture:
         messages = stream_capture(spark, args.capture)

@@ -110,7 +110,8 @@ class Writer:
 
     def _append(self, spark: SparkSession, outcomes: DataFrame, table: TableSpec) -> None:
         if self.options.ensure_tables and table.name not in self._ensured:
-            tables.ensure_table(spark, table)
+            if tables.ensure_table(spark, table).result == tables.ADDED:
+                self.metrics.add({"schema_changes": 1})
             self._ensured.add(table.name)
         rows = typed_rows(outcomes, table).unionByName(tables.large_rows(outcomes, table))
         tables.append(rows, table, self.options.max_rows_per_file)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import socket
 import threading
 import time
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 from weir.operators.rows import DECODE_ERROR, EMPTY_VALUE, ERROR, INVALID_KEY, LARGE, ROW
+from weir.plans.config import Config
 
 DATAGRAM_BYTES = 8000
 
@@ -31,11 +33,39 @@ def observed() -> list[Column]:
     ]
 
 
+def worker_tags(config: Config, host: str | None = None) -> dict[str, str]:
+    """Tags that tell the writers of one pipeline apart."""
+    tags = {"pipeline": config.name, "kafka_cluster": config.transform.cluster}
+    return tags | ({"pod_name": host} if host else {})
+
+
+def pipeline_tags(config: Config) -> dict[str, str]:
+    """Tags of a pipeline's rows by table: counts of several writers add up under them."""
+    stream = {"pipeline_stream": config.source.stream} if config.source.stream else {}
+    return {"pipeline_name": config.name} | stream | {"pipeline_source": "kafka", "kafka_cluster": config.transform.cluster}
+
+
+def lag_by_topic(end: str | None, latest: str | None) -> dict[str, int]:
+    """Lag of each topic from a source's read and newest offsets, as its progress has them."""
+    try:
+        own, newest = json.loads(end or "null"), json.loads(latest or "null")
+    except ValueError:
+        return {}
+    if not isinstance(own, dict) or not isinstance(newest, dict):
+        return {}
+    found = {}
+    for topic, offsets in newest.items():
+        if isinstance(offsets, dict) and isinstance(own.get(topic), dict):
+            found[topic] = sum(max(0, o - own[topic].get(p, o)) for p, o in offsets.items())
+    return found
+
+
 class Metrics:
     """Totals, gauges and rows by destination; safe to use from several threads."""
 
-    def __init__(self, prefix: str = "weir", tags: dict[str, str] | None = None):
-        self.prefix, self.tags = prefix, tags or {}
+    def __init__(self, prefix: str = "weir", tags: dict[str, str] | None = None, table_tags: dict[str, str] | None = None):
+        self.prefix, self.tags, self.table_tags = prefix, tags or {}, tags or {} if table_tags is None else table_tags
+        self.gauges: dict[tuple[str, str, str], int] = {}
         self.totals: Counter[str] = Counter()
         self.by_table: dict[str, Counter[str]] = defaultdict(Counter)
         self.batch_ms_max = 0
@@ -46,6 +76,10 @@ class Metrics:
         with self._lock:
             (self.totals if table is None else self.by_table[table]).update({k: v for k, v in counts.items() if v})
 
+    def gauge(self, name: str, value: int, tag: str = "", of: str = "") -> None:
+        with self._lock:
+            self.gauges[name, tag, of] = value
+
     def batch(self, ms: int) -> None:
         with self._lock:
             self.totals.update({"batches": 1, "batch_ms": ms})
@@ -53,7 +87,7 @@ class Metrics:
 
     def _samples(self) -> list[tuple[str, dict[str, str], int]]:
         found = [(k, self.tags, v) for k, v in sorted(self.totals.items())]
-        return found + [(f"table_{k}", {**self.tags, "table": t}, v) for t, c in sorted(self.by_table.items()) for k, v in sorted(c.items())]
+        return found + [(f"table_{k}", {**self.table_tags, "table": t}, v) for t, c in sorted(self.by_table.items()) for k, v in sorted(c.items())]
 
     def prometheus(self) -> str:
         """All totals as exposition text."""
@@ -66,6 +100,11 @@ class Metrics:
                 labels = ",".join(f'{k}="{_escaped(v)}"' for k, v in tags.items())
                 lines.append(f"{self.prefix}_{name}_total{{{labels}}} {value}" if labels else f"{self.prefix}_{name}_total {value}")
             lines += [f"# TYPE {self.prefix}_batch_ms_max gauge", f"{self.prefix}_batch_ms_max {self.batch_ms_max}"]
+            for (name, tag, of), value in sorted(self.gauges.items()):
+                if name not in seen:
+                    seen.add(name)
+                    lines.append(f"# TYPE {self.prefix}_{name} gauge")
+                lines.append(f'{self.prefix}_{name}{{{tag}="{_escaped(of)}"}} {value}' if tag else f"{self.prefix}_{name} {value}")
         return "\n".join(lines) + "\n"
 
     def datagrams(self) -> list[bytes]:
@@ -79,6 +118,8 @@ class Metrics:
                     lines.append(_statsd(f"{self.prefix}.{name}", grown, "c", tags))
             lines.append(_statsd(f"{self.prefix}.batch_ms_max", self.batch_ms_max, "g", self.tags))
             self.batch_ms_max = 0
+            for (name, tag, of), value in sorted(self.gauges.items()):
+                lines.append(_statsd(f"{self.prefix}.{name}", value, "g", self.tags | ({tag: of} if tag else {})))
         return chunked(lines)
 
 
@@ -134,6 +175,9 @@ class Progress(StreamingQueryListener):
     def onQueryProgress(self, event: Any) -> None:
         self.last_progress = time.monotonic()
         self.metrics.batch(int(event.progress.batchDuration))
+        for source in event.progress.sources or ():
+            for topic, lag in lag_by_topic(source.endOffset, source.latestOffset).items():
+                self.metrics.gauge("consumer_lag", lag, "topic", topic)
 
     def onQueryIdle(self, event: Any) -> None:
         self.last_progress = time.monotonic()
