@@ -6,12 +6,15 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weir.operators.spread import estimated_bytes, spread
+from weir.operators.spread import as_bytes, estimated_bytes, spread
 from weir.sources.shared import shared_folder
 
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Writes df once to the shared folder and reads it back: cuts lineage, and a lost executor loses nothing."""
@@ -30,7 +33,13 @@ def fold(modulus: int, remainder: int, column: str = "doc_id") -> Column:
 def map_batches(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema, ordered: bool = False
 ) -> DataFrame:
-    """mapInArrow: one narrow pass, batch by batch. A small scan is dealt out to all cores, unless its order counts."""
+    """mapInArrow: one narrow pass, batch by batch. A small scan is dealt out to all cores, unless its order counts.
+
+    Texts can be long: the session's bound on a batch is its rows and, from here on, BATCH_BYTES.
+    """
+    conf = df.sparkSession.conf
+    if as_bytes(conf.get(BATCH_CONF, "64m")) > BATCH_BYTES:
+        conf.set(BATCH_CONF, str(BATCH_BYTES))
     return (df if ordered else spread(df)).mapInArrow(function, schema)
 
 
