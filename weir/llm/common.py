@@ -55,6 +55,6 @@ _KNOWN_BYTES = 1 << 52
 def input_bytes(docs: DataFrame) -> int:
     """How large an input with a text column is: its files' size where the plan knows it, else the texts' bytes."""
     estimate = estimated_bytes(docs)
-    if estimate < _KNOWN_BYTES:
+    if estimate < _KNOWN_BYTES and "Join" not in docs._jdf.queryExecution().optimizedPlan().toString():
         return estimate
     return docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
