@@ -34,10 +34,18 @@ _PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_LEVEL = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 #: Words kept in each of the two generations of a worker's cache, and the longest such word in bytes.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
 LONGEST_CACHED = 64
 
 
+#: Packers of so many ids as little-endian unsigned 32-bit integers.
+_PACKERS = [struct.Struct(f"<{n}I").pack for n in range(LONGEST_CACHED + 1)]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return _PACKERS[len(ids)](*ids) if len(ids) < len(_PACKERS) else struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Words(dict):
     """UTF-8 word -> its ids as little-endian unsigned 32-bit integers.
 
@@ -49,39 +57,39 @@ class _Words(dict):
         self.tokenizer = tokenizer
         self.tokenize = tokenizer.model.tokenize
         self.old: dict[bytes, bytes] = {}
+        self.marks = {m: _packed([t.id for t in self.tokenize(chr(m))]) for m in _MARKS}
 
     def _piece(self, piece: bytes) -> bytes:
-        """Ids of lower-case ASCII letters or of one mark; a piece is a word as well."""
-        ids = self.get(piece)
+        """Ids of one piece of a simple word in lower case; a piece is a word as well."""
+        ids = self.get(piece) or self.old.get(piece)
         if ids is None:
-            ids = self.old.get(piece)
-            if ids is None:
-                found = [token.id for token in self.tokenize(piece.decode())]
-                ids = struct.pack(f"<{len(found)}I", *found)
-            self[piece] = ids
+            own = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(_BYTE_LEVEL)
+            ids = self[piece] = _packed([token.id for token in self.tokenize(own)])
         return ids
 
-    def _new(self, word: bytes) -> bytes:
-        if word.isalpha():
-            return self._piece(word.lower())
-        if word[:-1].isalpha() and word[-1] in _MARKS:
-            return self._piece(word[:-1].lower()) + self._piece(word[-1:])
+    def _other(self, word: bytes) -> bytes:
         text = word.decode()
         if _SIMPLE(text) and "<|" not in text:
-            found = []
-            for piece in _PIECES(text.lower()):
-                own = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
-                found += [token.id for token in self.tokenize(own)]
-        else:
-            found = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(found)}I", *found)
+            text = text.lower()
+            if text.isalpha():
+                return self._piece(text.encode())
+            if text[:-1].isalpha() and text[-1].isascii() and ord(text[-1]) in self.marks:
+                return self._piece(text[:-1].encode()) + self.marks[ord(text[-1])]
+            return b"".join([self._piece(piece.encode()) for piece in _PIECES(text)])
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            ids = self._new(word)
             if len(word) > LONGEST_CACHED:
-                return ids
+                return self._other(word)
+            if word.isalpha():
+                low = word.lower()
+                ids = self._piece(low) if low != word else _packed([t.id for t in self.tokenize(word.decode())])
+            elif word[-1] in self.marks and (core := word[:-1]).isalpha():
+                ids = self._piece(core.lower()) + self.marks[word[-1]]
+            else:
+                ids = self._other(word)
         if len(self) >= CACHED_WORDS:
             self.old = dict(self)
             self.clear()
