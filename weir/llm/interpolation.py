@@ -38,8 +38,9 @@ from pyspark.sql import functions as F
 from weir.llm.common import input_bytes, map_batches, materialise, text_bytes
 
 BLOCK_BYTES = 8 << 20
-#: Input file bytes whose keys go to one shard.
+#: Input file bytes whose keys go to one shard, as long as that makes at most MAX_SHARDS.
 SHARD_BYTES = 8 << 20
+MAX_SHARDS = 200_000
 CLASSES = 24
 #: Quantisation of frequencies, in parts of a power of two.
 STEPS = 8
@@ -295,7 +296,7 @@ def interpolated_scores(docs: DataFrame, kinds: Column | None = None, block_byte
     kinds tells for each row whether it is SCORED only, TRAINED, or TRAINED and in the FOLD for the weights.
     """
     kinds = fold_kinds() if kinds is None else kinds
-    shards = max(1, -(-input_bytes(docs) // shard_bytes))
+    shards = max(1, min(MAX_SHARDS, -(-input_bytes(docs) // shard_bytes)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), kinds.cast("int").alias("kind"), F.col("text").cast("string").alias("text"))
     blocks = materialise(map_batches(rows, lambda b: _block_batches(b, block_bytes), "block long, fold boolean, payload binary"), "blocks")
     schema = "shard int, gram int, block long, keys binary, counts binary, fold binary"

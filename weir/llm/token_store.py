@@ -30,8 +30,9 @@ END_ID = 1
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 5_000
-#: Bytes of input files that go to one shard.
-SHARD_BYTES = 32 << 20
+#: Bytes of input files that go to one shard, as long as that makes at most MAX_SHARDS.
+SHARD_BYTES = 16 << 20
+MAX_SHARDS = 50_000
 #: With fewer shards than cores, shards are smaller, down to this.
 LEAST_SHARD_BYTES = 2 << 20
 
@@ -72,7 +73,7 @@ def write_tokens(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if shards is None:
         size = input_bytes(docs)
-        shards = max(1, -(-size // SHARD_BYTES), min(docs.sparkSession.sparkContext.defaultParallelism, size // LEAST_SHARD_BYTES))
+        shards = max(1, min(MAX_SHARDS, -(-size // SHARD_BYTES)), min(docs.sparkSession.sparkContext.defaultParallelism, size // LEAST_SHARD_BYTES))
     dealt = rows.repartitionByRange(shards, F.col("doc_id"), F.xxhash64("text"))
     dealt = dealt.sortWithinPartitions(F.col("doc_id"), F.xxhash64("text"), F.col("text"))
     tokenizer = tokenizer or default_tokenizer()
