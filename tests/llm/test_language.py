@@ -69,6 +69,50 @@ def test_far_texts_are_rejected(documents):
     assert model.predict(["zzqxj " * 60])[0][2]
 
 
+def syllables(seed, n, words=None):
+    """Texts of a made-up language: words of its own syllables, from one to n of them."""
+    rng = np.random.default_rng(seed)
+    own = ["".join(rng.choice(list("bcdfghklmnprstvz"), 1)) + "".join(rng.choice(list("aeiou"), rng.integers(1, 3))) for _ in range(25)]
+    return [" ".join("".join(rng.choice(own, rng.integers(1, 4))) for _ in range(words or rng.integers(5, 200))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def made_up(documents):
+    rows = [(1000 * lang + i, text, f"l{lang}", "s") for lang in (1, 2, 3) for i, text in enumerate(syllables(lang, 150)[:100])]
+    return language.fit(documents(rows))
+
+
+@pytest.mark.parametrize("words", [8, 30, 120, 500, 2000])
+def test_unseen_languages_and_random_letters_are_rejected_at_every_length(made_up, words):
+    rng = np.random.default_rng(words)
+    far = syllables(77, 40, words) + syllables(78, 40, words)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя"):
+        far += [" ".join("".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(words)) for _ in range(20)]
+    assert np.mean([r[2] for r in made_up.predict(far)]) >= 0.95
+
+
+def test_held_out_texts_stay_at_every_length(made_up):
+    for seed in (1, 2, 3):
+        held = syllables(seed, 150)[100:]
+        cut = [" ".join(t.split()[:n]) for t in held for n in (1, 2, 4, 8, 16, 32, 64)]
+        repeated = [" ".join([w] * 40) for t in held for w in t.split()[:1]]
+        for texts, most in ((held, 0.04), (cut, 0.04), (repeated, 0.2)):
+            assert np.mean([r[2] for r in made_up.predict(texts)]) <= most
+
+
+def test_every_length_has_a_floor(made_up):
+    assert (made_up.floor > 0).all()
+    assert (language.floors(np.arange(5), np.ones(5, np.float32)) == 0).all()  # too few to tell
+
+
+def test_pieces_are_whole_words_or_characters():
+    text = language.normalise("one two three four five six seven eight nine ten eleven twelve " * 20)
+    assert len(language.pieces(text)) == 10 and all(set(p.split()) <= set(text.split()) for p in language.pieces(text))
+    endless = language.pieces(language.normalise("語" * 1000))
+    assert len(endless) > 8 and all(set(p.decode().strip()) == {"語"} for p in endless)
+    assert language.pieces(b"") == [] == language.pieces(b" a ")
+
+
 def test_several_centroids_serve_several_registers():
     rng = np.random.default_rng(0)
     a, b = rng.normal(0, 0.05, (50, 8)) + np.eye(8)[0], rng.normal(0, 0.05, (50, 8)) + np.eye(8)[3]

@@ -3,21 +3,25 @@
 A text's vector is the TF-IDF of its hashed byte n-grams (letters only, lower case, words between single spaces),
 scaled to length one. The vectors of each language's learned texts are clustered by spherical k-means, so that a
 language of several registers has several centroids. A text gets the language of the centroid of largest cosine; it is
-rejected as too far from all of them if that cosine is far below what learned texts of its length have. The score is a
-softmax of the languages' best cosines.
+rejected as too far from all of them if that cosine is below what nearly all held-out texts of its length have. Those
+are measured while fitting: each half of a language's learned texts, and a shorter piece of each for every power of two
+of bytes, against centroids of the other half. A text's length is its number of different n-grams, so that a repeated
+word is a short text. A length met by few takes the nearest lengths too. The score is a softmax of the languages' best
+cosines.
 
 Learned are at most per_language texts a language and about max_texts in all (both parameters), chosen by a hash of
 the text. Their clusters are fitted a language a task; only centroids come to the driver and are broadcast, at most
 max_centroids of dims floats. All texts are scored whole.
 
 Defined cases: a null text or one without a letter is "und", with score 0 and rejected; rows with a null lang are not
-learned from; repeated rows are scored each on its own; without any learned language every text is "und"; other
-columns of the input are ignored.
+learned from; repeated rows are scored each on its own; without any learned language every text is "und"; with too few
+learned texts to measure a length no text with a letter is rejected; other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,8 +39,13 @@ CENTROIDS = 6
 PER_LANGUAGE = 1200
 MAX_TEXTS = 6000
 MAX_CENTROIDS = 3000
-#: A cosine below this part of the lowest hundredth of learned cosines at the same length is too far.
-REJECT_PART = 0.4
+#: This share of held-out cosines at the same length lies below the least cosine that is not too far.
+REJECT_SHARE = 0.005
+#: So many held-out cosines make a floor; of a length with fewer, those of the nearest lengths are taken too.
+FLOOR_COSINES = 30
+LENGTHS = 32
+#: Bytes up to which pieces of learned texts are measured; longer ones are measured whole.
+MAX_PIECE = 2048
 TEMPERATURE = 0.05
 UNKNOWN = "und"
 
@@ -51,7 +60,7 @@ class LanguageModel:
     centroids: np.ndarray  # a row a centroid
     of: np.ndarray  # the language of each centroid
     idf: np.ndarray
-    floor: np.ndarray  # least cosine by binary logarithm of a text's n-grams
+    floor: np.ndarray  # least cosine by length class
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """(language, score, rejected) of each text."""
@@ -79,14 +88,43 @@ def normalise(text: str | None) -> bytes:
 
 
 def _length_class(counts: np.ndarray, classes: int) -> np.ndarray:
-    return np.minimum(np.log2(counts.sum(1) + 1).astype(int), classes - 1)
+    """Half powers of two of the different n-grams."""
+    return np.minimum((2 * np.log2((counts > 0).sum(1) + 1)).astype(int), classes - 1)
+
+
+def pieces(text: bytes) -> list[bytes]:
+    """Of a normal text, a run of whole words for each power of two of bytes below its length; words without end are cut."""
+    words, found, size = text[1:-1], [], 2
+    while size < min(len(words), MAX_PIECE + 1):
+        at = zlib.crc32(words) % (len(words) - size)
+        start = words.find(b" ", at, at + size + 32) + 1 or at
+        end = words.find(b" ", start + size - 1, start + size + 32)
+        if end < 0:
+            end = start + size if start + size + 32 < len(words) else len(words)
+        piece = words[start:end].decode(errors="ignore").strip().encode()
+        if piece:
+            found.append(b" %b " % piece)
+        size *= 2
+    return found
+
+
+def floors(lengths: np.ndarray, cosines: np.ndarray) -> np.ndarray:
+    """The least cosine of each length class that is not too far: all zero if fewer than FLOOR_COSINES are known."""
+    floor = np.zeros(LENGTHS, np.float32)
+    if len(cosines) >= FLOOR_COSINES:
+        for length in range(LENGTHS):
+            away = np.abs(lengths - length)
+            near = away <= np.partition(away, FLOOR_COSINES - 1)[FLOOR_COSINES - 1]
+            floor[length] = np.quantile(cosines[near], REJECT_SHARE)
+    return floor
 
 
 def _vector_batches(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [normalise(t) for t in batch.column(1).to_pylist()]
         rows = [row.astype("<u2").tobytes() for row in np.minimum(gram_counts(texts, dims, SIZES), 65_535)]
-        yield pa.record_batch([batch.column(0), pa.array(rows, pa.binary())], ["lang", "counts"])
+        short = pa.array([pieces(t) for t in texts], pa.list_(pa.binary()))
+        yield pa.record_batch([batch.column(0), pa.array(rows, pa.binary()), short], ["lang", "counts", "pieces"])
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -111,6 +149,23 @@ def cluster(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
+def held_out_cosines(
+    counts: np.ndarray, vectors: np.ndarray, short: list[list[bytes]], idf: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Length classes and best cosines of a language's texts and their pieces, each half against centroids of the other."""
+    lengths, cosines = [np.zeros(0, int)], [np.zeros(0, np.float32)]
+    for half in range(2) if len(vectors) > 1 else ():
+        centers = cluster(vectors[1 - half :: 2], k)
+        lengths.append(_length_class(counts[half::2], LENGTHS))
+        cosines.append((vectors[half::2] @ centers.T).max(1))
+        texts = [p for own in short[half::2] for p in own]
+        for at in range(0, len(texts), 256):
+            some = gram_counts(texts[at : at + 256], len(idf), SIZES)
+            lengths.append(_length_class(some, LENGTHS))
+            cosines.append((weighted(some, idf) @ centers.T).max(1))
+    return np.concatenate(lengths), np.concatenate(cosines)
+
+
 def fit(
     docs: DataFrame,
     learn: Column | None = None,
@@ -127,7 +182,7 @@ def fit(
     rows = rows.select(F.col(label).cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     sample, totals = labelled_sample(rows, "lang", per_language, max_texts)
     vectors = materialise(
-        map_batches(sample.select("lang", "text"), lambda b: _vector_batches(b, dims), "lang string, counts binary"), "lang-vectors"
+        map_batches(sample.select("lang", "text"), lambda b: _vector_batches(b, dims), "lang string, counts binary, pieces array<binary>"), "lang-vectors"
     )
     per_lang = max(1, min(centroids, max_centroids // max(1, len(totals))))
 
@@ -135,7 +190,7 @@ def fit(
         seen = (_matrix(table.column("counts")) > 0).sum(0)
         return pa.table({"n": pa.array([table.num_rows], pa.int64()), "seen": pa.array([seen.astype("<i8").tobytes()], pa.binary())})
 
-    found = vectors.groupBy("lang").applyInArrow(frequencies, "n long, seen binary").collect()
+    found = vectors.select("lang", "counts").groupBy("lang").applyInArrow(frequencies, "n long, seen binary").collect()
     texts = sum(r["n"] for r in found)
     seen = sum((np.frombuffer(r["seen"], "<i8") for r in found), np.zeros(dims, np.int64))
     idf = np.log((texts + 1) / (seen + 1)).astype(np.float32) + np.float32(0.05)
@@ -147,8 +202,8 @@ def fit(
         if not used.any():
             return pa.table({"lang": pa.array([], pa.string()), "centroids": pa.array([], pa.binary()), "lengths": pa.array([], pa.binary()), "cosines": pa.array([], pa.binary())})
         centers = cluster(vectors[used], per_lang)
-        cosines = (vectors[used] @ centers.T).max(1)
-        lengths = _length_class(counts[used], 32)
+        short = [p for p, u in zip(table.column("pieces").to_pylist(), used, strict=True) if u]
+        lengths, cosines = held_out_cosines(counts[used], vectors[used], short, idf, per_lang)
         return pa.table(
             {
                 "lang": pa.array([key[0].as_py()]),
@@ -161,16 +216,12 @@ def fit(
     fitted = vectors.groupBy("lang").applyInArrow(clusters, "lang string, centroids binary, lengths binary, cosines binary")
     fitted = sorted(fitted.collect(), key=lambda r: r["lang"])
     if not fitted:
-        return LanguageModel([], np.zeros((0, dims), np.float32), np.zeros(0, int), idf, np.zeros(32, np.float32))
+        return LanguageModel([], np.zeros((0, dims), np.float32), np.zeros(0, int), idf, np.zeros(LENGTHS, np.float32))
     parts = [np.frombuffer(r["centroids"], "<f4").reshape(-1, dims) for r in fitted]
     lengths = np.concatenate([np.frombuffer(r["lengths"], "<i4") for r in fitted])
     cosines = np.concatenate([np.frombuffer(r["cosines"], "<f4") for r in fitted])
-    floor = np.zeros(32, np.float32)
-    for length in range(32):
-        if (lengths == length).sum() >= 30:
-            floor[length:] = REJECT_PART * np.quantile(cosines[lengths == length], 0.01)  # longer texts are no farther
     of = np.concatenate([np.full(len(p), i) for i, p in enumerate(parts)])
-    return LanguageModel([r["lang"] for r in fitted], np.concatenate(parts), of, idf, floor)
+    return LanguageModel([r["lang"] for r in fitted], np.concatenate(parts), of, idf, floors(lengths, cosines))
 
 
 def _predict_batches(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
