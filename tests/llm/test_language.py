@@ -135,6 +135,26 @@ def test_sample_is_bounded_and_copies_count_once(documents):
     assert sorted(r["text"] for r in sample.collect()) == sorted(r["text"] for r in found)
 
 
+def test_copies_do_not_thin_a_label(documents):
+    from weir.llm.features import labelled_sample
+
+    hot = [(n, f"hot {n % 50}", "en", "s") for n in range(8000)] + [(9000 + n, "only one", "fr", "s") for n in range(2000)]
+    rows = hot + [(20_000 + n, f"text {n}", "de", "s") for n in range(2000)]
+    sample, totals = labelled_sample(documents(rows).select("lang", "text"), "lang", 40, 6000)
+    found = sample.collect()
+    by = {k: [r["text"] for r in found if r["lang"] == k] for k in totals}
+    assert totals == {"en": 8000, "fr": 2000, "de": 2000}
+    assert {k: len(set(v)) for k, v in by.items()} == {k: len(v) for k, v in by.items()} == {"en": 40, "fr": 1, "de": 40}
+
+
+def test_every_label_is_sampled(documents):
+    from weir.llm.features import labelled_sample
+
+    rows = [(n, f"text {n % 7}", f"l{n % 90}", "s") for n in range(9000)]  # more labels than texts in all
+    sample, totals = labelled_sample(documents(rows).select("lang", "text"), "lang", 40, 60)
+    assert len(totals) == 90 and {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()} == dict.fromkeys(totals, 1)
+
+
 def test_nothing_to_learn(documents, widened):
     empty = language.fit(documents([(1, None, "en", "s"), (2, "text", None, "s")]))
     assert empty.predict(["text"]) == [("und", 0.0, True)]

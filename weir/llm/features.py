@@ -41,16 +41,22 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 def labelled_sample(rows: DataFrame, label: str, per_label: int, total: int) -> tuple[DataFrame, dict]:
     """Distinct labelled texts, at most per_label for each label and about total of all; and the labels' row counts.
 
-    rows has text and the label, both not null. A text is in or out by its hash, so that copies are one text, and the
-    same rows give the same sample however they are dealt out. Whole texts are kept.
+    rows has text and the label, both not null. Each label's texts of the smallest hashes are in, as many as the bound or
+    all it has: copies are one text, and the same rows give the same sample however they are dealt out. Whole texts are
+    kept. Only hashes are counted, and only texts below a hash that about bound distinct texts are below are moved.
     """
-    totals = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    hashed = rows.withColumn("hash", F.xxhash64(F.lit("sample"), "text"))
+    of_hash = hashed.groupBy(label, "hash").agg(F.count(F.lit(1)).alias("n"))
+    known = of_hash.groupBy(label).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()
+    totals = {r[label]: r["n"] for r in known}
     if not totals:
         return rows.select(label, "text", F.lit(0).cast("long").alias("hash")), totals
     bound = max(1, min(per_label, total // len(totals)))
-    share = F.create_map(*(F.lit(x) for k, n in totals.items() for x in (k, min(1.0, 1.2 * bound / n))))[F.col(label)]
-    hashed = rows.withColumn("hash", F.xxhash64(F.lit("sample"), "text"))
-    some = hashed.where(F.pmod(F.col("hash"), F.lit(1_000_003)) < share * 1_000_003)
+    # eight deviations and more above the bound: that fewer than the bound are below it has a chance under 1e-12
+    enough = bound + 8 * bound**0.5 + 32
+    highest = {r[label]: min((1 << 63) - 1, int(2**64 * min(1.0, enough / r["texts"])) - (1 << 63)) for r in known}
+    limit = F.create_map(*(x for k, h in highest.items() for x in (F.lit(k), F.lit(h).cast("long"))))[F.col(label)]
+    some = hashed.where(F.col("hash") <= limit)
     some = some.groupBy(label, "hash").agg(F.first("text").alias("text"))
     first = Window.partitionBy(label).orderBy("hash")
     return some.withColumn("place", F.row_number().over(first)).where(F.col("place") <= bound).drop("place"), totals
