@@ -67,6 +67,28 @@ def test_weak_parts_need_a_complement(documents, text, added):
     assert [s["kind"] for s in row["spans"] if s["kind"] not in ("assign", "access", "hex")] == added
 
 
+def run(chars, n):
+    return (chars * (n // len(chars) + 1))[:n]
+
+
+@pytest.mark.parametrize("n", [100, 127, 129, 513, 1600, 2049, 5000, 100_000])
+def test_long_weak_parts_run_to_their_end(documents, n):
+    key, url, user = "private_key=" + run("Ab1/", n), "https://vault.example.com/" + run("v1?a=b&", n), "client_id=" + run("ab-C", n)
+    host = ".".join(["db"] * 20) + ".example.com"
+    pairs = [(key, "key", "endpoint=https://vault.example.com/v1", "endpoint"), (url, "endpoint", "pass=hidden1", "key"), (user, "id", "pass=hidden1", "key"),
+             (host, "endpoint", "pass=hidden1", "key"), ("me@" + host, "id", "pass=hidden1", "key")]
+    found = scanned(documents([f"{long} {short}" for long, _, short, _ in pairs]))
+    for i, (long, kind, _, other) in enumerate(pairs):
+        assert [s["kind"] for s in found[i]["spans"]] == [kind, other], (kind, n)
+        assert (found[i]["spans"][0]["start"], found[i]["spans"][0]["end"]) == (0, len(long))
+
+
+def test_hosts_with_a_port_have_any_ending(documents):
+    found = scanned(documents(["db.example.de:5432 pass=hidden1", "os.path.join pass=hidden1", "db.example.com pass=hidden1"]))
+    assert [[s["kind"] for s in found[i]["spans"]] for i in range(3)] == [["endpoint", "key"], [], ["endpoint", "key"]]
+    assert found[0]["spans"][0]["end"] == len("db.example.de:5432")
+
+
 def linked(text, reach=secrets.REACH):
     """Brute force over all pairs of parts."""
     parts = []

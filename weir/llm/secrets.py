@@ -6,7 +6,9 @@ reported wherever they pass their length: assign, access and hex. Three are weak
 
   id        an account, client or user name, or a mail address
   key       a value given to a password-like name, short or not
-  endpoint  a URL or a host name
+  endpoint  a URL, or a host name: of a listed ending, or of any with a port (without one it may be a file or a call)
+
+Values of weak parts run to their end, however long; host names have at most the 127 labels of 63 that DNS has.
 
 A weak candidate is reported only if a complementary part lies in the same scope (the text between two blank lines)
 and within reach code points of it: an id or endpoint needs a secret (assign, hex or key), a key needs an id, an
@@ -42,13 +44,14 @@ HEX = rf"[0-9a-f]{{{MIN_HEX},}}"
 
 _GIVEN = r"""["']?\x20*[:=]\x20*["']?"""
 ID = (
-    rf"(?i:account(?:_?id)?|client_?id|access_?(?:key_?)?id|user(?:_?name)?|login){_GIVEN}[A-Za-z0-9+/_.@-]{{3,128}}"
-    r"|[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
+    rf"(?i:account(?:_?id)?|client_?id|access_?(?:key_?)?id|user(?:_?name)?|login){_GIVEN}[A-Za-z0-9+/_.@-]{{3,}}+"
+    r"|[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,126}"
 )
-KEY = rf"(?i:passphrase|pwd|pass|auth|private_?key|credentials?|key){_GIVEN}[A-Za-z0-9+/_.=-]{{6,512}}"
+KEY = rf"(?i:passphrase|pwd|pass|auth|private_?key|credentials?|key){_GIVEN}[A-Za-z0-9+/_.=-]{{6,}}+"
 ENDPOINT = (
-    r"(?i:https?|ftps?|s3|jdbc:[a-z]{1,16}|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\x00-\x20\x22\x27<>]{1,2048}"
-    r"|(?<![A-Za-z0-9@.-])[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}\.(?:com|net|org|io|dev|local|internal)(?![A-Za-z0-9-])(?::[0-9]{1,5})?"
+    r"(?i:https?|ftps?|s3|jdbc:[a-z]{1,16}|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\x00-\x20\x22\x27<>]++"
+    r"|(?<![A-Za-z0-9@.-])[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,126}"
+    r"(?:\.(?:com|net|org|io|dev|local|internal)(?![A-Za-z0-9-])(?::[0-9]{1,5})?|\.[A-Za-z][A-Za-z0-9-]{1,62}:[0-9]{1,5}(?![0-9A-Za-z]))"
 )
 BREAK = r"\n[\x20\x09\x0D]*\n"
 
