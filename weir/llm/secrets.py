@@ -96,12 +96,15 @@ def _parts(docs: DataFrame) -> DataFrame:
     secret = F.size("assign") + F.size("hex") + F.size("key") > 0
     rows = rows.select("*", secret.alias("any_secret"))
     rows = rows.select("*", found(ID, F.col("any_secret")).alias("id"), found(ENDPOINT, F.col("any_secret")).alias("endpoint"))
-    weak = F.size("id") + F.size("endpoint") + F.size("key") > 0
+    values = F.when(F.size("assign") > 0, F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2))).otherwise(none)
+    rows = rows.select("*", values.alias("assign_values"))
+    # an assign of a short value is a weak key
+    short = F.exists("assign_values", lambda v: F.length(v) < MIN_ASSIGN_VALUE)
+    weak = (F.size("id") + F.size("endpoint") + F.size("key") > 0) | short
     rows = rows.select("*", weak.alias("weak")).select("*", found(BREAK, F.col("weak")).alias("break"))
     names = [*KINDS, "break"]
     patterns = dict(zip(names, (ASSIGN, ACCESS, HEX, ID, KEY, ENDPOINT, BREAK), strict=True))
-    values = F.when(F.size("assign") > 0, F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2))).otherwise(none)
-    rows = rows.select("*", *(pieces(patterns[n], n).alias(f"{n}_gaps") for n in names), values.alias("assign_values"))
+    rows = rows.select("*", *(pieces(patterns[n], n).alias(f"{n}_gaps") for n in names))
     long_value = lambda i: F.length(F.col("assign_values")[i]) >= MIN_ASSIGN_VALUE
     lists = [
         _pieces(kind, F.col(n), F.col(f"{n}_gaps"), long_value if n == "assign" else None).cast(f"array<{_PART}>")
