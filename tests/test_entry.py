@@ -1,3 +1,5 @@
+import shutil
+import subprocess
 import sys
 from pathlib import Path
 
@@ -40,6 +42,18 @@ def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
 
 
+@pytest.mark.parametrize("kept", ["nothing", "corpus_pipeline.py"])
+def test_other_queries_without_the_training_data_part(tmp_path, kept):
+    """With the llm folders gone, and the pipeline with them or not, the rest imports and registers all its queries."""
+    root = Path(__file__).parent.parent
+    gone = {"llm", "tests", ".git", "__pycache__", "corpus_pipeline.py"} - {kept}
+    shutil.copytree(root, tmp_path / "repo", ignore=lambda folder, names: gone & set(names))
+    code = "import __spark_entry__ as e; print(*sorted(e.queries())); print(*sorted(e.oracle_sql()))"
+    ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True, check=True)
+    queries, oracle = ran.stdout.splitlines()
+    assert queries.split() == sorted(QUERIES) and set(oracle.split()) <= set(QUERIES)
+
+
 def test_check_config(tmp_path, capsys):
     sys.path.insert(0, str(Path(__file__).parent))
     from test_config import BASE
