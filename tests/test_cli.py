@@ -79,3 +79,22 @@ def test_capture(spark, files, capsys):
 def test_smoke(spark, tmp_path, capsys):
     assert cli.main(["smoke", "--writers", "2", "--batches", "3", "--rows", "5", "--filler", "10", "--out", f"{tmp_path}/s"]) == 0
     assert spark.read.parquet(f"{tmp_path}/s").count() == 30 and "rows 30" in capsys.readouterr().out
+
+
+def test_smoke_and_run_against_a_service(spark, files, tmp_path, capsys, monkeypatch):
+    from weir.streaming.remote import FaultyService
+    from weir.streaming.service import serve_rows
+
+    monkeypatch.setenv("WEIR_RUN_HEALTH_PORT", "0")
+    service = FaultyService(close_after=5)
+    server = serve_rows(service)
+    url = f"http://127.0.0.1:{server.server_address[1]}"
+    try:
+        assert cli.main(["smoke", "--writers", "2", "--batches", "2", "--rows", "5", "--filler", "10", "--service", url]) == 0
+        assert "rows 20" in capsys.readouterr().out and service.distinct("p.d.smoke") == 10
+        assert cli.main(["run", "--config", f"{files}/c.yml", "--checkpoint", f"{files}/cp2", "--capture", f"{files}/in", "--once", "--service", url]) == 0
+        assert service.distinct("p.cli.rows") == 6 and not service.violations
+    finally:
+        server.shutdown()
+    with pytest.raises(SystemExit):
+        cli.main(["smoke"])

@@ -3,7 +3,9 @@ import pytest
 from weir.operators.rows import ROW, encode_rows
 from weir.plans.catalog import FROZEN, row_path
 from weir.sources.wire import WireRows
-from weir.streaming.remote import FaultyService, Retry, ServiceError, deliver, requests, rest_retry, without_field
+from weir.plans.tables import ColumnSpec, TableSpec
+from weir.streaming.remote import FaultyService, Retry, Sender, ServiceError, deliver, rest_retry, without_field
+from weir.streaming.service import HttpService, packed, serve_rows, unpacked
 
 SCHEMA = "topic string, partition int, offset long, timestamp long, key binary, value binary, headers array<struct<key: string, value: binary>>"
 
@@ -88,11 +90,28 @@ def test_rest():
     assert len(tries) == 8
 
 
+class Kept(FaultyService):
+    def append(self, table, schema, rows):
+        super().append(table, schema, rows)
+        self.calls = [*getattr(self, "calls", []), rows]
+
+
+def sent(rows, **limits):
+    service = Kept()
+    sender = Sender(service, Retry(), TableSpec("p.d.t", (ColumnSpec("a", "STRING"),)), **limits)
+    for row in rows:
+        sender.add(row)
+    sender.flush()
+    assert sender.counts["rows"] == len(rows) and sender.counts["requests"] == len(getattr(service, "calls", []))
+    return getattr(service, "calls", [])
+
+
 def test_requests():
     rows = [b"x" * n for n in (10, 10, 10, 95, 1)]
-    assert list(requests(rows, b"", 2)) == [rows[:2], rows[2:4], rows[4:]]
-    assert list(requests(rows, b"s" * 4, 100, 40)) == [rows[:2], rows[2:3], rows[3:4], rows[4:]]
-    assert list(requests([], b"")) == []
+    size = len(TableSpec("p.d.t", (ColumnSpec("a", "STRING"),)).descriptor())
+    assert sent(rows, max_rows=2) == [rows[:2], rows[2:4], rows[4:]]
+    assert sent(rows, max_rows=100, max_bytes=size + 36) == [rows[:2], rows[2:3], rows[3:4], rows[4:]]
+    assert sent([]) == []
 
 
 def messages(spark, n):
@@ -119,13 +138,51 @@ def test_service_counts_distinct_rows(spark):
     one = [bytes(r["row_bytes"]) for r in encode_rows(messages(spark, 5), path, FROZEN).collect()]
     two = [bytes(r["row_bytes"]) for r in encode_rows(messages(spark, 5), path, "2027-01-01T00:00:00").collect()]
     service = FaultyService()
-    for rows in requests(one + two + two, table.descriptor(), 4):
-        service.append(table.name, table.descriptor(), rows)
+    sender = Sender(service, Retry(), table, 4)
+    for row in one + two + two:
+        sender.add(row)
+    sender.flush()
     number = table.columns[table.places["__inserted_at"]].number
     assert service.distinct(table.name) == 10 and service.distinct(table.name, number) == 5 and not service.violations
     assert without_field(one[0], number) == without_field(two[0], number) != one[0]
 
 
+def test_parts_of_a_body():
+    assert unpacked(packed([b"", b"a" * 300, b"b"])) == [b"", b"a" * 300, b"b"] and unpacked(b"") == []
+
+
+def test_delivery_over_http_survives_faults(spark):
+    """Tasks in worker processes, one server: what it took is every row at least once, large rows as loads."""
+    path = row_path("json_events", max_row_bytes=160)
+    long = [("events", 0, 100 + i, 1000, b'{"user_id":%d}' % (100 + i), b'{"a":"%s"}' % (b"x" * 500), None) for i in range(3)]
+    outcomes = encode_rows(messages(spark, 50).union(spark.createDataFrame(long, SCHEMA)), row_path("json_events", max_row_bytes=400), FROZEN).repartition(3)
+    service = FaultyService(every_n=4, close_after=3)
+    server = serve_rows(service)
+    try:
+        url = f"http://127.0.0.1:{server.server_address[1]}"
+        found = deliver(outcomes, path, lambda: HttpService(url, sleep=lambda s: None), 5, lambda: Retry(sleep=lambda s: None)).collect()
+    finally:
+        server.shutdown()
+    wanted = {bytes(r["row_bytes"]) for r in outcomes.where("outcome = 'row'").collect()}
+    assert set(service.taken["p.d.events"]) == wanted and len(wanted) == 50 and not service.violations
+    assert {r["large_json"] for r in outcomes.where("outcome = 'large'").collect()} == set(service.loaded["p.d.events"]) and len(service.loaded["p.d.events"]) == 3
+    assert sum(r["rows"] for r in found) == 50 and sum(r["loads"] for r in found) == 3 and sum(r["retries"] for r in found) > 0
+    assert all(r["ack_ms_max"] <= r["ack_ms"] for r in found)
+
+
+def test_errors_over_http():
+    server = serve_rows(FaultyService(row_error_every_n=1))
+    client = HttpService(f"http://127.0.0.1:{server.server_address[1]}", sleep=lambda s: None)
+    with pytest.raises(ServiceError) as error:
+        client.append("p.d.t", b"", [b"a"])
+    assert (error.value.code, error.value.rows) == ("INVALID_ARGUMENT", (0,))
+    server.shutdown()
+    server.server_close()
+    with pytest.raises(ServiceError) as error:
+        HttpService("http://127.0.0.1:9").append("p.d.t", b"", [b"a"])
+    assert error.value.code == "UNAVAILABLE"
+
+
 def test_wire_files(spark, tmp_path):
     spark.dataSource.register(WireRows)
     path = row_path("json_events")

@@ -3,7 +3,9 @@ from base64 import b64encode
 
 import pytest
 
-from weir.sources.capture import CaptureSource, first_messages, parse_since, read_capture, stream_capture, write_capture
+from weir.operators.registry import from_dict, from_folder
+from weir.sources import capture
+from weir.sources.capture import CaptureSource, first_messages, limited, parse_since, read_capture, stream_capture, write_capture, write_schemas
 
 SCHEMA = "topic string, partition int, offset long, timestamp long, key binary, value binary, headers array<struct<key: string, value: binary>>"
 ROWS = [
@@ -38,7 +40,7 @@ def test_data_source(spark, tmp_path):
     lines(f"{tmp_path}/m.ndjson")
     spark.dataSource.register(CaptureSource)
     assert plain(spark.read.format("weir_capture").option("path", f"{tmp_path}/m.ndjson").load().collect()) == sorted(ROWS)
-    stream = spark.readStream.format("weir_capture").option("path", f"{tmp_path}/m.ndjson").option("batch", 3).load()
+    stream = spark.readStream.format("weir_capture").option("path", f"{tmp_path}/m.ndjson").option("bytes", 150).load()
     query = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(processingTime="0 seconds").start()
     try:
         query.processAllAvailable()
@@ -47,6 +49,40 @@ def test_data_source(spark, tmp_path):
     assert plain(spark.read.parquet(f"{tmp_path}/out").collect()) == sorted(ROWS)
 
 
+@pytest.mark.parametrize("size", [1, 7, 100, 10_000])
+def test_ranges_meet_each_line_once(tmp_path, size):
+    lines(f"{tmp_path}/m.ndjson")
+    end = (tmp_path / "m.ndjson").stat().st_size
+    found = [m for part in capture._ranges(0, end, size) for m in capture._lines(f"{tmp_path}/m.ndjson", part)]
+    assert [m[:4] for m in found] == [r[:4] for r in ROWS]
+
+
+def test_a_line_without_its_end_waits(tmp_path):
+    lines(f"{tmp_path}/m.ndjson")
+    whole = (tmp_path / "m.ndjson").read_bytes()
+    stream = capture._CaptureStream(f"{tmp_path}/m.ndjson", 1 << 20)
+    (tmp_path / "m.ndjson").write_bytes(whole[:-20])
+    first = stream.latestOffset()["byte"]
+    assert whole[:first].count(b"\n") == 3 and whole[first - 1 : first] == b"\n"
+    (tmp_path / "m.ndjson").write_bytes(whole)
+    assert stream.latestOffset()["byte"] == len(whole) == stream.latestOffset()["byte"]
+
+
+def test_schemas_beside_a_capture(spark, tmp_path):
+    write_capture(spark.createDataFrame(ROWS, SCHEMA), f"{tmp_path}/c")
+    assert write_schemas([3, 4], from_dict({3: {"type": "record", "name": "X", "fields": []}}), f"{tmp_path}/c/schemas") == 1
+    assert list(from_folder(f"{tmp_path}/c/schemas").resolve([3, 4])) == [3]
+    assert plain(read_capture(spark, f"{tmp_path}/c").collect()) == sorted(ROWS)
+
+
+def test_a_limit_of_time(spark):
+    slow = spark.range(0, 10**11, 1, 2).selectExpr("sum(id % 7 * (id % 11))")
+    assert not limited(spark, 0.5, slow.collect)
+    assert limited(spark, 60, lambda: spark.range(3).collect())
+    with pytest.raises(ValueError):
+        limited(spark, 60, lambda: int("x"))
+
+
 def test_folder_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     lines(f"{tmp_path}/in/m.ndjson")

@@ -13,8 +13,10 @@ from weir.plans.catalog import FROZEN, TABLES, row_path
 from weir.plans.tables import ColumnSpec, TableSpec
 from weir.sources.capture import read_capture, stream_capture
 from weir.streaming import engine
-from weir.streaming.engine import RunOptions, Stopper, Writer, options_from_env, start
+from weir.streaming.engine import RunOptions, Stopper, Writer, forget, options_from_env, start
 from weir.streaming.health import serve
+from weir.streaming.remote import FaultyService
+from weir.streaming.service import HttpService, serve_rows
 from weir.streaming.metrics import Metrics, Progress, chunked, lag_by_topic, pipeline_tags, push, worker_tags
 
 
@@ -69,6 +71,96 @@ def test_a_bad_message_stops_the_query_and_a_restart_resumes(spark, tmp_path, mo
     assert [r["offset"] for r in spark.read.parquet(f"{tmp_path}/bad").collect()] == [1]
 
 
+def users(spark, name):
+    spark.catalog.refreshTable(name)  # a stream's session is its own
+    return sorted(r["user_id"] for r in spark.table(name).collect())
+
+
+def test_a_dry_run_takes_nothing_from_the_real_one(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write_lines(f"{tmp_path}/in/1.ndjson", range(3))
+    path = path_for("p.s7.rows")
+    writer = run(spark, tmp_path, path, dry_run=True)
+    assert users(spark, "s7.rows") == [0, 1, 2] and (tmp_path / "cp" / f"dry-{writer.options.run_id}").exists()
+    forget(spark, writer.options)
+    assert not list((tmp_path / "cp").iterdir())
+    write_lines(f"{tmp_path}/in/1.ndjson", range(6))  # all of it is the real run's first batch
+    real = run(spark, tmp_path, path)
+    forget(spark, real.options)
+    assert users(spark, "s7.rows") == [0, 0, 1, 1, 2, 2, 3, 4, 5] and (tmp_path / "cp/query").exists()
+
+
+def test_a_reset_of_the_offsets_takes_the_records_along(spark, tmp_path):
+    import shutil
+
+    (tmp_path / "in").mkdir()
+    write_lines(f"{tmp_path}/in/1.ndjson", range(2))
+    path = path_for("p.s8.rows")
+    run(spark, tmp_path, path)
+    shutil.rmtree(tmp_path / "cp/query")
+    write_lines(f"{tmp_path}/in/2.ndjson", range(2, 4))
+    run(spark, tmp_path, path)
+    assert set(users(spark, "s8.rows")) == {0, 1, 2, 3}
+
+
+def test_a_loss_between_append_and_record_loses_no_row(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    write_lines(f"{tmp_path}/in/1.ndjson", range(3))
+    path = path_for("p.s9.rows")
+    with monkeypatch.context() as m:
+        m.setattr(engine.Writer, "_record", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            run(spark, tmp_path, path)
+    run(spark, tmp_path, path)
+    assert users(spark, "s9.rows") == [0, 0, 1, 1, 2, 2]  # at least once: what was not recorded is appended again
+
+
+def test_records_go_with_their_batch(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for n in range(4):
+        write_lines(f"{tmp_path}/in/{n}.ndjson", range(n, n + 1))
+    path = path_for("p.s10.rows")
+    run(spark, tmp_path, path)
+    run(spark, tmp_path, path)
+    (query,) = (tmp_path / "cp/query/appended").iterdir()
+    assert query.name in (tmp_path / "cp/query/metadata").read_text()
+    assert [p.name for p in query.iterdir()] == ["3"] and users(spark, "s10.rows") == [0, 1, 2, 3]
+
+
+def test_a_run_against_a_service_that_fails_delivers_all(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write_lines(f"{tmp_path}/in/1.ndjson", range(30), lambda o: {"a": "x" * 2000} if o == 12 else {"a": o})
+    write_lines(f"{tmp_path}/in/2.ndjson", range(30, 40))
+    path = path_for("p.s11.rows", max_row_bytes=1000)
+    service = FaultyService(every_n=3, close_after=2)
+    server = serve_rows(service)
+    url = f"http://127.0.0.1:{server.server_address[1]}"
+    try:
+        writer = Writer(path, RunOptions(f"{tmp_path}/cp", once=True, inserted_at=FROZEN, max_rows_per_request=4, request_budget_s=60), connect=lambda: HttpService(url, sleep=lambda s: None))
+        query = start(stream_capture(spark, f"{tmp_path}/in", 1), writer)
+        query.awaitTermination()
+    finally:
+        server.shutdown()
+    batch = encode_rows(read_capture(spark, f"{tmp_path}/in"), path, FROZEN)
+    assert set(service.taken["p.s11.rows"]) == {bytes(r["row_bytes"]) for r in batch.where("outcome = 'row'").collect()}
+    assert len(set(service.taken["p.s11.rows"])) == 39 and len(service.loaded["p.s11.rows"]) == 1 and not service.violations
+    totals = writer.metrics.by_table["p.s11.rows"]
+    assert totals["rows"] == 39 and totals["large_rows"] == totals["loads"] == 1 and totals["retries"] > 0 and totals["acks"] == 2
+    assert "weir_append_ms_max" in writer.metrics.prometheus()
+
+
+def test_columns_that_were_added_begin_the_grace_time(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    write_lines(f"{tmp_path}/in/1.ndjson", range(2))
+    path = path_for("p.s12.rows")
+    assert run(spark, tmp_path, path).columns_added_at is None
+    wider = TableSpec("p.s12.rows", (*TABLES["json_events"], ColumnSpec("more", "STRING")), ("user_id",), "DAY", "__inserted_at")
+    path.tables = {"p.s12.rows": wider}
+    write_lines(f"{tmp_path}/in/2.ndjson", range(2, 4))
+    assert run(spark, tmp_path, path).columns_added_at is not None
+    assert spark.table("s12.rows").where("more is null").count() == 4
+
+
 def test_a_failure_between_tables_does_not_append_twice(spark, tmp_path, monkeypatch):
     (tmp_path / "in").mkdir()
     write_lines(f"{tmp_path}/in/1.ndjson", range(3))

@@ -39,10 +39,14 @@ class Registry:
         self.known: dict[int, Any] = {}
 
     def resolve(self, ids: Iterable[int]) -> dict[int, Any]:
+        """The schemas of the ids given that exist: what is broadcast with a batch is what the batch needs."""
+        found = {}
         for schema_id in ids:
             if schema_id not in self.known and (text := self.load(schema_id)) is not None:
                 self.known[schema_id] = named_envelope(parse(text))
-        return dict(self.known)
+            if schema_id in self.known:
+                found[schema_id] = self.known[schema_id]
+        return found
 
 
 def from_folder(folder: str) -> Registry:

@@ -4,20 +4,26 @@ A capture is a folder of NDJSON, one message a line: topic, partition, offset, t
 if unknown), key, value (base64 or null) and headers (a list of [name, base64 or null], or null).
 
 read_capture uses Spark's JSON reader with a fixed schema and native base64 functions. stream_capture is the same over
-a folder that grows. CaptureSource is a Python data source for one file on a path that executors share; as a stream,
-its offsets are line numbers, so that each batch is a range of lines that can be read again.
+a folder that grows. CaptureSource is a Python data source for one file on a path that executors share: tasks read ranges
+of its bytes; as a stream, its offsets are bytes, so that each batch is a range that can be read again.
 """
 
 from __future__ import annotations
 
 import json
+import os
+import threading
+import uuid
 from base64 import b64decode
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, DataSourceStreamReader
 
+from weir.operators.registry import Registry
 from weir.operators.rows import MESSAGES
 
 _LINES = (
@@ -62,6 +68,41 @@ def write_capture(messages: DataFrame, path: str) -> None:
     capture_lines(messages).write.option("ignoreNullFields", "false").json(path)
 
 
+def write_schemas(ids: Iterable[int], registry: Registry, folder: str) -> int:
+    """Writes the text of each schema that the registry has to folder/<id>.json: a replay needs no registry then."""
+    n = 0
+    for schema_id in ids:
+        if (text := registry.load(schema_id)) is not None:
+            Path(folder).mkdir(parents=True, exist_ok=True)
+            Path(folder, f"{schema_id}.json").write_text(text, encoding="utf-8")
+            n += 1
+    return n
+
+
+def limited(spark: SparkSession, seconds: float, work: Callable[[], Any]) -> bool:
+    """Whether work's Spark jobs end within so many seconds; those that do not are cancelled."""
+    tag = f"limited-{uuid.uuid4().hex}"
+    late = threading.Event()
+
+    def stop() -> None:
+        late.set()
+        spark.sparkContext.cancelJobsWithTag(tag)
+
+    timer = threading.Timer(seconds, stop)
+    spark.sparkContext.addJobTag(tag)
+    timer.start()
+    try:
+        work()
+    except Exception:
+        if not late.is_set():
+            raise
+        return False
+    finally:
+        timer.cancel()
+        spark.sparkContext.removeJobTag(tag)
+    return True
+
+
 def first_messages(messages: DataFrame, per_topic: int, topics: list[str] | None = None, since_ms: int | None = None) -> DataFrame:
     """At most per_topic messages a topic, by partition and offset, of the topics given and from a time on.
 
@@ -96,46 +137,84 @@ def _message(line: str) -> tuple:
     return m["topic"], m["partition"], m["offset"], m["timestamp"], raw(m.get("key")), raw(m.get("value")), headers
 
 
-class _Lines(InputPartition):
-    def __init__(self, start: int, end: int | None):
+#: Bytes of a file that a task reads, and that a micro-batch has at most but for its last line.
+RANGE_BYTES = 32 << 20
+
+
+class _Range(InputPartition):
+    def __init__(self, start: int, end: int):
         self.start, self.end = start, end
 
 
+def _ranges(start: int, end: int, size: int) -> list[InputPartition]:
+    return [_Range(at, min(end, at + size)) for at in range(start, end, size)]
+
+
+def _lines(path: str, part: _Range) -> Iterator[tuple]:
+    """The messages of the lines that begin in a range of bytes."""
+    with open(path, "rb") as file:
+        at = max(0, part.start - 1)
+        file.seek(at)
+        if part.start:
+            at += len(file.readline())  # the line that holds the byte before the range is another range's
+        while at < part.end and (line := file.readline()):
+            at += len(line)
+            if line.strip():
+                yield _message(line)
+
+
 class _CaptureReader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, size: int):
+        self.path, self.size = path, size
 
     def partitions(self) -> list[InputPartition]:
-        return [_Lines(0, None)]
+        return _ranges(0, os.path.getsize(self.path), self.size)
+
+    def read(self, partition: _Range) -> Iterator[tuple]:
+        return _lines(self.path, partition)
+
 
-    def read(self, partition: _Lines) -> Iterator[tuple]:
-        with open(self.path, encoding="utf-8") as file:
-            for n, line in enumerate(file):
-                if n >= partition.start and (partition.end is None or n < partition.end) and line.strip():
-                    yield _message(line)
+class _CaptureStream(DataSourceStreamReader):
+    """A micro-batch is a range of bytes, which ends with a whole line: a line without its end is left for later.
 
+    Only offsets are the driver's: the lines are read by tasks.
+    """
 
-class _CaptureStream(SimpleDataSourceStreamReader):
-    def __init__(self, path: str, batch: int):
-        self.path, self.batch = path, batch
+    def __init__(self, path: str, size: int):
+        self.path, self.size = path, size
+        self._at = 0
 
     def initialOffset(self) -> dict:
-        return {"line": 0}
+        return {"byte": 0}
+
+    def latestOffset(self) -> dict:
+        self._at = self._ended(self._at)
+        return {"byte": self._at}
+
+    def _ended(self, start: int) -> int:
+        """The end of the last whole line up to the size of a batch from start, or of the first one if that is longer."""
+        with open(self.path, "rb") as file:
+            file.seek(start)
+            raw = file.read(self.size)
+            whole = raw.rfind(b"\n") + 1
+            if whole or not raw:
+                return start + whole
+            line = raw + file.readline()
+            return start + len(line) if line.endswith(b"\n") else start
 
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        rows = self._lines(start["line"], start["line"] + self.batch)
-        return iter(rows), {"line": start["line"] + len(rows)}
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        self._at = max(self._at, end["byte"])
+        return _ranges(start["byte"], end["byte"], max(1, self.size // 4))
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return iter(self._lines(start["line"], end["line"]))
+    def read(self, partition: _Range) -> Iterator[tuple]:
+        return _lines(self.path, partition)
 
-    def _lines(self, start: int, end: int) -> list[tuple]:
-        with open(self.path, encoding="utf-8") as file:
-            return [_message(line) for n, line in enumerate(file) if start <= n < end]
+    def commit(self, end: dict) -> None:
+        pass
 
 
 class CaptureSource(DataSource):
-    """format("weir_capture").option("path", file); as a stream also option("batch", lines a batch)."""
+    """format("weir_capture").option("path", file); option("bytes", of a task, and as a stream of a batch)."""
 
     @classmethod
     def name(cls) -> str:
@@ -145,7 +224,7 @@ class CaptureSource(DataSource):
         return MESSAGES
 
     def reader(self, schema) -> DataSourceReader:
-        return _CaptureReader(self.options["path"])
+        return _CaptureReader(self.options["path"], int(self.options.get("bytes", RANGE_BYTES)))
 
-    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
-        return _CaptureStream(self.options["path"], int(self.options.get("batch", 1000)))
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _CaptureStream(self.options["path"], int(self.options.get("bytes", RANGE_BYTES)))

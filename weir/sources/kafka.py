@@ -11,15 +11,19 @@ from pyspark.sql import functions as F
 
 from weir.plans.config import Source
 
-QUEUE_KILOBYTES = 16_384
+#: Messages of a micro-batch at most: what bounds its memory, and a first batch that starts at the oldest offset.
+MAX_MESSAGES = 1_000_000
 
 
 def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace('"', '\\"')
 
 
-def kafka_options(source: Source, streaming: bool = True, since_ms: int | None = None, max_bytes: int | None = None) -> dict[str, str]:
-    """Options of format("kafka") for a configured source."""
+def kafka_options(source: Source, streaming: bool = True, since_ms: int | None = None, max_messages: int | None = None, linger_s: float | None = None) -> dict[str, str]:
+    """Options of format("kafka") for a configured source.
+
+    A micro-batch holds at most max_messages. Given linger_s, it begins with that many, or so long after the last one.
+    """
     own = {str(k): str(v).lower() if isinstance(v, bool) else str(v) for k, v in source.consumer_config.items()}
     reset = own.pop("auto.offset.reset", "earliest")
     for managed in ("enable.auto.commit", "partition.assignment.strategy", "group.instance.id"):
@@ -41,7 +45,9 @@ def kafka_options(source: Source, streaming: bool = True, since_ms: int | None =
         del options["startingOffsets"]
         options |= {"startingTimestamp": str(since_ms), "startingOffsetsByTimestampStrategy": "latest"}
     if streaming:
-        options["maxBytesPerTrigger"] = str(max_bytes or QUEUE_KILOBYTES * 1024)
+        options["maxOffsetsPerTrigger"] = str(max_messages or MAX_MESSAGES)
+        if linger_s:
+            options |= {"minOffsetsPerTrigger": options["maxOffsetsPerTrigger"], "maxTriggerDelay": f"{int(linger_s * 1000)}ms"}
     else:
         options["endingOffsets"] = "latest"
     return options

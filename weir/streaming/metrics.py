@@ -9,7 +9,7 @@ import time
 from collections import Counter, defaultdict
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -19,18 +19,18 @@ from weir.plans.config import Config
 DATAGRAM_BYTES = 8000
 
 
-def observed() -> list[Column]:
-    """Aggregates for observe() on outcomes: one pass, beside the write."""
-    n = lambda condition: F.count(F.when(condition, 1))
-    outcome, reason = F.col("outcome"), F.col("skip_reason")
-    return [
-        F.count(F.lit(1)).alias("messages"),
-        n(outcome == ROW).alias("rows"),
-        n(outcome == LARGE).alias("large_rows"),
-        n(outcome == ERROR).alias("errors"),
-        *(n(reason == r).alias(f"skipped_{r}") for r in (EMPTY_VALUE, INVALID_KEY, DECODE_ERROR)),
-        F.coalesce(F.sum(F.octet_length("row_bytes")), F.lit(0)).alias("row_bytes"),
-    ]
+#: Names of the reasons to skip a message, as counters.
+_SKIPPED = {r: f"skipped_{r}" for r in (EMPTY_VALUE, INVALID_KEY, DECODE_ERROR)}
+#: Names of the stages at which a message fails, as counters.
+_FAILED = {s: f"failed_{s}" for s in ("source", "transform", "encode")}
+
+
+def grouped(outcomes: DataFrame) -> list[Row]:
+    """n and bytes by destination, outcome, skip reason and stage: one aggregation that tells all counters of a batch."""
+    by = outcomes.groupBy("destination_id", "outcome", "skip_reason", "stage")
+    size = F.coalesce(F.sum(F.coalesce(F.octet_length("row_bytes"), F.octet_length("large_json"))), F.lit(0))
+    largest = F.coalesce(F.max(F.octet_length("row_bytes")), F.lit(0))
+    return by.agg(F.count(F.lit(1)).alias("n"), size.alias("bytes"), largest.alias("largest")).collect()
 
 
 def worker_tags(config: Config, host: str | None = None) -> dict[str, str]:
@@ -68,7 +68,7 @@ class Metrics:
         self.gauges: dict[tuple[str, str, str], int] = {}
         self.totals: Counter[str] = Counter()
         self.by_table: dict[str, Counter[str]] = defaultdict(Counter)
-        self.batch_ms_max = 0
+        self.maxima: Counter[str] = Counter(batch_ms_max=0)
         self._pushed: Counter[str] = Counter()
         self._lock = threading.Lock()
 
@@ -80,10 +80,37 @@ class Metrics:
         with self._lock:
             self.gauges[name, tag, of] = value
 
+    def add_groups(self, groups: list[Row]) -> None:
+        """Counters of a batch from grouped(): messages, rows, large rows, skips and failures, bytes; and rows by table."""
+        counts: Counter[str] = Counter()
+        for g in groups:
+            counts["messages"] += g["n"]
+            if g["outcome"] in (ROW, LARGE):
+                name, size = ("rows", "row_bytes") if g["outcome"] == ROW else ("large_rows", "large_bytes")
+                counts.update({name: g["n"], size: g["bytes"]})
+                self.add({name: g["n"], size: g["bytes"]}, g["destination_id"])
+                self.highest("row_bytes_max", g["largest"])
+            elif g["outcome"] == ERROR:
+                counts.update({"errors": g["n"], _FAILED.get(g["stage"], "failed"): g["n"]})
+            else:
+                counts.update({"skipped": g["n"], _SKIPPED.get(g["skip_reason"], "skipped_other"): g["n"]})
+        self.add(counts)
+
+    def highest(self, name: str, value: int) -> None:
+        """A gauge that keeps its largest value until it is pushed."""
+        with self._lock:
+            self.maxima[name] = max(value, self.maxima[name])
+
+    def acknowledged(self, ms: int, table: str) -> None:
+        """A destination's rows of a batch were taken, so long after they were first sent."""
+        self.add({"acks": 1, "append_ms": ms}, table)
+        self.add({"acks": 1, "append_ms": ms})
+        self.highest("append_ms_max", ms)
+
     def batch(self, ms: int) -> None:
         with self._lock:
             self.totals.update({"batches": 1, "batch_ms": ms})
-            self.batch_ms_max = max(self.batch_ms_max, ms)
+        self.highest("batch_ms_max", ms)
 
     def _samples(self) -> list[tuple[str, dict[str, str], int]]:
         found = [(k, self.tags, v) for k, v in sorted(self.totals.items())]
@@ -99,7 +126,8 @@ class Metrics:
                     lines.append(f"# TYPE {self.prefix}_{name}_total counter")
                 labels = ",".join(f'{k}="{_escaped(v)}"' for k, v in tags.items())
                 lines.append(f"{self.prefix}_{name}_total{{{labels}}} {value}" if labels else f"{self.prefix}_{name}_total {value}")
-            lines += [f"# TYPE {self.prefix}_batch_ms_max gauge", f"{self.prefix}_batch_ms_max {self.batch_ms_max}"]
+            for name, value in sorted(self.maxima.items()):
+                lines += [f"# TYPE {self.prefix}_{name} gauge", f"{self.prefix}_{name} {value}"]
             for (name, tag, of), value in sorted(self.gauges.items()):
                 if name not in seen:
                     seen.add(name)
@@ -108,7 +136,7 @@ class Metrics:
         return "\n".join(lines) + "\n"
 
     def datagrams(self) -> list[bytes]:
-        """What has grown since the last call, as statsd lines in datagrams cut at line ends; the maximum starts anew."""
+        """What has grown since the last call, as statsd lines in datagrams cut at line ends; maxima start anew."""
         with self._lock:
             lines = []
             for name, tags, value in self._samples():
@@ -116,8 +144,9 @@ class Metrics:
                 if grown := value - self._pushed[key]:
                     self._pushed[key] = value
                     lines.append(_statsd(f"{self.prefix}.{name}", grown, "c", tags))
-            lines.append(_statsd(f"{self.prefix}.batch_ms_max", self.batch_ms_max, "g", self.tags))
-            self.batch_ms_max = 0
+            for name, value in sorted(self.maxima.items()):
+                lines.append(_statsd(f"{self.prefix}.{name}", value, "g", self.tags))
+                self.maxima[name] = 0
             for (name, tag, of), value in sorted(self.gauges.items()):
                 lines.append(_statsd(f"{self.prefix}.{name}", value, "g", self.tags | ({tag: of} if tag else {})))
         return chunked(lines)

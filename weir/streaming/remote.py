@@ -8,13 +8,13 @@ from __future__ import annotations
 
 import hashlib
 import time
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
 from pyspark.sql import DataFrame
 
-from weir.operators.rows import ROW, RowPath
+from weir.operators.rows import LARGE, ROW, RowPath
 from weir.plans.tables import TableSpec
 
 #: What a request may hold, and what a row takes beyond its bytes.
@@ -34,8 +34,12 @@ class ServiceError(RuntimeError):
 
 
 class Service(Protocol):
+    """Takes rows of a table: wire messages by requests, and rows too large for them as lines of JSON by loads."""
+
     def append(self, table: str, schema: bytes, rows: list[bytes]) -> None: ...
 
+    def load(self, table: str, lines: list[str]) -> None: ...
+
 
 @dataclass
 class Retry:
@@ -93,23 +97,55 @@ def rest_retry(**clock: Any) -> Callable[[Callable[[], tuple[int, str]]], str]:
     return call
 
 
-def requests(rows: Iterable[bytes], schema: bytes, max_rows: int = MAX_ROWS, max_bytes: int = MAX_REQUEST_BYTES) -> Iterator[list[bytes]]:
-    """Rows in order, cut to requests; a row that is too large alone is a request of its own."""
-    held: list[bytes] = []
-    size = len(schema)
-    for row in rows:
+_SENT = ("requests", "rows", "retries", "bytes", "loads", "ack_ms", "ack_ms_max")
+
+
+class Sender:
+    """One task's writer of one table: holds rows until a request is full, whatever the batches they come in."""
+
+    def __init__(self, service: Service, policy: Retry, table: TableSpec, max_rows: int = MAX_ROWS, max_bytes: int = MAX_REQUEST_BYTES):
+        self.service, self.policy, self.max_rows, self.max_bytes = service, policy, max_rows, max_bytes
+        self.name, self.schema = table.name, table.descriptor()
+        self.held: list[bytes] = []
+        self.size = len(self.schema)
+        self.counts = dict.fromkeys(_SENT, 0)
+
+    def add(self, row: bytes) -> None:
         own = len(row) + ROW_OVERHEAD
-        if held and (len(held) >= max_rows or size + own > max_bytes):
-            yield held
-            held, size = [], len(schema)
-        held.append(row)
-        size += own
-    if held:
-        yield held
+        if self.held and (len(self.held) >= self.max_rows or self.size + own > self.max_bytes):
+            self.flush()
+        self.held.append(row)
+        self.size += own
+
+    def flush(self) -> None:
+        if self.held:
+            rows = self.held
+            self._call(lambda: self.service.append(self.name, self.schema, rows))
+            self.counts["requests"] += 1
+            self.counts["rows"] += len(rows)
+            self.counts["bytes"] += sum(map(len, rows))
+            self.held, self.size = [], len(self.schema)
+
+    def load(self, line: str) -> None:
+        """A large row is a load of its own, so that no more than one is held."""
+        self._call(lambda: self.service.load(self.name, [line]))
+        self.counts["loads"] += 1
+
+    def _call(self, request: Callable[[], None]) -> None:
+        began = time.monotonic()
+
+        def again() -> None:
+            self.counts["retries"] += 1
+
+        self.policy.call(request, again)
+        ms = int((time.monotonic() - began) * 1000)
+        self.counts["ack_ms"] += ms
+        self.counts["ack_ms_max"] = max(ms, self.counts["ack_ms_max"])
 
 
 def deliver(outcomes: DataFrame, path: RowPath, connect: Callable[[], Service], max_rows: int = MAX_ROWS, retry: Callable[[], Retry] = Retry) -> DataFrame:
-    """Sends the rows of outcomes from where they are; a row a partition and table: requests, rows, retries and bytes.
+    """Sends the rows of outcomes from where they are; a row a partition and table: requests, rows, retries, bytes,
+    loads of large rows, and the time until requests were taken, in all and the longest.
 
     Each partition is a writer of its own. A lost task sends its rows again: delivery is at least once.
     """
@@ -119,27 +155,22 @@ def deliver(outcomes: DataFrame, path: RowPath, connect: Callable[[], Service],
         import pyarrow as pa
 
         service, policy = connect(), retry()
-        counts: dict[str, list[int]] = {}
+        senders: dict[str, Sender] = {}
         for batch in batches:
-            own: dict[str, list[bytes]] = {}
-            for name, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own.setdefault(name, []).append(row)
-            for name, rows in own.items():
-                schema, n = tables[name].descriptor(), counts.setdefault(name, [0, 0, 0, 0])
-
-                def again(n=n):
-                    n[2] += 1
-
-                for request in requests(rows, schema, max_rows):
-                    policy.call(lambda name=name, schema=schema, request=request: service.append(name, schema, request), again)
-                    n[0] += 1
-                    n[1] += len(request)
-                    n[3] += sum(map(len, request))
-        columns = [pa.array(list(counts), pa.string()), *(pa.array([n[i] for n in counts.values()], pa.int64()) for i in range(4))]
-        yield pa.record_batch(columns, ["destination_id", "requests", "rows", "retries", "bytes"])
-
-    rows = outcomes.where(outcomes["outcome"] == ROW).select("destination_id", "row_bytes")
-    return rows.mapInArrow(send, "destination_id string, requests long, rows long, retries long, bytes long")
+            for name, row, large in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if name not in senders:
+                    senders[name] = Sender(service, policy, tables[name], max_rows)
+                if large is None:
+                    senders[name].add(row)
+                else:
+                    senders[name].load(large)
+        for sender in senders.values():
+            sender.flush()
+        columns = [pa.array(list(senders), pa.string()), *(pa.array([s.counts[n] for s in senders.values()], pa.int64()) for n in _SENT)]
+        yield pa.record_batch(columns, ["destination_id", *_SENT])
+
+    rows = outcomes.where(outcomes["outcome"].isin(ROW, LARGE)).select("destination_id", "row_bytes", "large_json")
+    return rows.mapInArrow(send, ", ".join(["destination_id string", *(f"{n} long" for n in _SENT)]))
 
 
 @dataclass
@@ -158,6 +189,7 @@ class FaultyService:
     latency_s: float = 0
     sleep: Callable[[float], None] = time.sleep
     taken: dict[str, list[bytes]] = field(default_factory=dict)
+    loaded: dict[str, list[str]] = field(default_factory=dict)
     schemas: dict[str, bytes] = field(default_factory=dict)
     violations: list[str] = field(default_factory=list)
     n: int = 0
@@ -182,6 +214,12 @@ class FaultyService:
         self.schemas[table] = schema
         self.taken.setdefault(table, []).extend(rows)
 
+    def load(self, table: str, lines: list[str]) -> None:
+        self.n += 1
+        if self.every_n and self.n % self.every_n == 0:
+            raise ServiceError(self.code, self.message)
+        self.loaded.setdefault(table, []).extend(lines)
+
     def distinct(self, table: str, ignored_field: int | None = None) -> int:
         """How many rows of a table differ, one field left out."""
         rows = (r if ignored_field is None else without_field(r, ignored_field) for r in self.taken.get(table, ()))
