@@ -50,7 +50,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_rules.apply_host_rules(_table(spark, sf_dir, "documents")).drop("host")
+    return host_rules.apply_host_rules(_table(spark, sf_dir, "documents")).drop("host", "verdict")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

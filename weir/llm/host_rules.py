@@ -1,23 +1,32 @@
 """Host-level quality rules: rule failures by host, shrunk by an empirical beta prior, and joined back to documents.
 
-A document fails a rule of its own (too few words, repeated word windows, many symbols, many repeated lines). Failures
-are counted by host; the hosts' rates, taken together, give a beta prior by the method of moments, and each host's
-rate is shrunk towards it: a host of few documents says little. A host is rejected if even the lower end of its shrunk
-rate (mean less two standard deviations) is above max_rate; documents of a rejected host go with it.
+A document fails a rule of its own: the base rule (too few words, or repeated word windows) or a weak one (many symbols,
+many repeated lines), which alone does not tell good documents from bad. Failures of any rule are counted by host; the
+hosts' rates, taken together, give a beta prior by the method of moments, and each host's rate is shrunk towards it: a
+host of few documents says little. That gives the host's verdict, whatever its number of documents:
+
+  rejected  even the lower end of its shrunk rate (mean less two standard deviations) is above max_rate: all its documents go
+  watched   its shrunk rate is at least watch_rate: documents that fail a weak rule go
+  trusted   otherwise: a weak failure there is taken for a chance one, and the document stays
+
+A host without evidence of its own has the prior's mean for its rate, so that at a corpus of many failures a host has to
+show documents that pass before it is trusted. Documents that fail the base rule always go.
 
 Documents are read once: their counts are written to shared storage without their texts, and hosts and documents are
 both derived from that table. Counting by host is a partial aggregation, so a host with a third of the documents is a
-few rows by the time it is dealt out. Only rejected hosts are joined back, a set that Spark broadcasts if its measured
-size allows, and else joins with the skewed side split.
+few rows by the time it is dealt out. Only hosts of another verdict than that of a host without documents are joined
+back, a set that Spark broadcasts if its measured size allows, and else joins with the skewed side split.
 
-Defined cases: a null or empty text has no words and fails the base rule; a null host has no verdict, whatever its
-documents; repeated rows count once each; an empty table has no hosts; without failures, or without documents
-that pass, the prior is uniform; other columns of the input are ignored.
+Defined cases: a null or empty text has no words and fails the base rule; a null host is a host without documents of its
+own, whatever its documents; repeated rows count once each; an empty table has no hosts; without failures, or without
+documents that pass, the prior is uniform; a rate of exactly watch_rate is watched, a lower end of exactly max_rate is
+not rejected; a text of any length is counted whole, by one worker; other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +40,11 @@ MIN_WORDS = 10
 REPEAT_WINDOW = 5
 MAX_REPEAT_PERCENT = 20
 MAX_SYMBOL_PERCENT = 10
-MAX_DUP_LINE_PERCENT = 30
+MAX_DUP_LINE_PERCENT = 50
 MAX_HOST_RATE = 0.5
-#: A host of fewer documents is never rejected.
-MIN_HOST_DOCS = 20
+WATCH_RATE = 0.05
+
+TRUSTED, WATCHED, REJECTED = "trusted", "watched", "rejected"
 
 _SYMBOLS = b"#*$%&|<>"
 _NOT_COUNTED = bytes([0x20, *range(0x09, 0x0E), *range(0x80, 0xC0)])
@@ -91,10 +101,10 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def rule_failed() -> Column:
+def weak_failed() -> Column:
     symbols = 100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * F.col("word_chars")
     lines = 100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("n_lines")
-    return base_failed() | symbols | lines
+    return symbols | lines
 
 
 def _prior(k: int, n: int | None, n2: int | None, f: int | None, q: float | None) -> tuple[float, float]:
@@ -114,17 +124,37 @@ def _prior(k: int, n: int | None, n2: int | None, f: int | None, q: float | None
     return m * (1 / rho - 1), (1 - m) * (1 / rho - 1)
 
 
-def host_verdicts(counts: DataFrame, max_rate: float = MAX_HOST_RATE, min_docs: int = MIN_HOST_DOCS) -> DataFrame:
-    """host, n_docs, n_failed, rate (shrunk), low (its lower end) and rejected, for every host that is not null."""
+@dataclass(frozen=True)
+class HostPrior:
+    """The beta prior of the hosts' rates, with the bounds of the verdicts."""
+
+    alpha: float
+    beta: float
+    max_rate: float = MAX_HOST_RATE
+    watch_rate: float = WATCH_RATE
+
+    def verdict(self, failed: Column, docs: Column) -> tuple[Column, Column, Column]:
+        """A host's shrunk rate, its lower end, and its verdict."""
+        a, b = failed + F.lit(self.alpha), docs - failed + F.lit(self.beta)
+        rate = a / (a + b)
+        low = rate - 2 * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
+        return rate, low, F.when(low > self.max_rate, REJECTED).when(rate >= self.watch_rate, WATCHED).otherwise(TRUSTED)
+
+    @property
+    def default(self) -> str:
+        """The verdict of a host without documents, but that it is never rejected."""
+        return WATCHED if self.alpha / (self.alpha + self.beta) >= self.watch_rate else TRUSTED
+
+
+def host_verdicts(counts: DataFrame, max_rate: float = MAX_HOST_RATE, watch_rate: float = WATCH_RATE) -> tuple[DataFrame, HostPrior]:
+    """host, n_docs, n_failed, rate (shrunk), low (its lower end) and verdict, for every host that is not null; and the prior."""
     hosts = counts.where("host is not null").groupBy("host")
-    hosts = hosts.agg(F.count(F.lit(1)).alias("n_docs"), F.sum(rule_failed().cast("long")).alias("n_failed"))
+    hosts = hosts.agg(F.count(F.lit(1)).alias("n_docs"), F.sum((base_failed() | weak_failed()).cast("long")).alias("n_failed"))
     n, f = F.col("n_docs"), F.col("n_failed")
     sums = hosts.agg(F.count(F.lit(1)).alias("k"), F.sum(n).alias("n"), F.sum(n * n).alias("n2"), F.sum(f).alias("f"), F.sum(f * f / n).alias("q"))
-    alpha, beta = _prior(*sums.first())  # one row: five sums over all hosts
-    a, b = F.col("n_failed") + F.lit(alpha), F.col("n_docs") - F.col("n_failed") + F.lit(beta)
-    deviation = F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    hosts = hosts.withColumn("rate", a / (a + b)).withColumn("low", a / (a + b) - 2 * deviation)
-    return hosts.withColumn("rejected", (F.col("low") > max_rate) & (F.col("n_docs") >= min_docs))
+    prior = HostPrior(*_prior(*sums.first()), max_rate, watch_rate)  # one row: five sums over all hosts
+    rate, low, verdict = prior.verdict(f, n)
+    return hosts.withColumns({"rate": rate, "low": low, "verdict": verdict}), prior
 
 
 def document_counts(docs: DataFrame, host: str = "source") -> DataFrame:
@@ -132,11 +162,15 @@ def document_counts(docs: DataFrame, host: str = "source") -> DataFrame:
     return map_batches(rows, _count_batches, SCHEMA)
 
 
-def apply_host_rules(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """Per document: its counts, base_failed, and kept: false if base_failed or if its host is rejected."""
+def apply_host_rules(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE, watch_rate: float = WATCH_RATE) -> DataFrame:
+    """Per document: its counts, base_failed, kept, host and its host's verdict."""
     counts = materialise(document_counts(docs, host), "rule-counts")
-    rejected = host_verdicts(counts, max_rate).where("rejected").select(F.col("host").alias("bad_host"))
-    rows = counts.join(rejected, F.col("host") == F.col("bad_host"), "left").withColumn("base_failed", base_failed())
-    return rows.withColumn("kept", ~F.col("base_failed") & F.col("bad_host").isNull()).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host"
+    hosts, prior = host_verdicts(counts, max_rate, watch_rate)
+    other = hosts.where(F.col("verdict") != prior.default).select(F.col("host").alias("of_host"), "verdict")
+    rows = counts.join(other, F.col("host") == F.col("of_host"), "left").withColumns(
+        {"verdict": F.coalesce("verdict", F.lit(prior.default)), "base_failed": base_failed(), "weak_failed": weak_failed()}
+    )
+    gone = F.col("base_failed") | (F.col("verdict") == REJECTED) | (F.col("weak_failed") & (F.col("verdict") == WATCHED))
+    return rows.withColumn("kept", ~gone).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host", "verdict"
     )

@@ -41,10 +41,10 @@ WITH w AS (
     coalesce(n_rep, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0)::BIGINT AS n_lines
   FROM w LEFT JOIN lines ON w.doc_id = lines.doc_id LEFT JOIN repeated ON w.doc_id = repeated.doc_id
 ), b AS (
-  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    100 * n_symbols > 10 * word_chars OR 100 * n_dup_lines > 50 * n_lines AS weak_failed FROM c
 ), h AS (
-  SELECT source, count(*)::DOUBLE AS n,
-    sum(CASE WHEN base_failed OR 100 * n_symbols > 10 * word_chars OR 100 * n_dup_lines > 30 * n_lines THEN 1 ELSE 0 END)::DOUBLE AS f
+  SELECT source, count(*)::DOUBLE AS n, sum(CASE WHEN base_failed OR weak_failed THEN 1 ELSE 0 END)::DOUBLE AS f
   FROM b WHERE source IS NOT NULL GROUP BY source
 ), s AS (
   SELECT count(*) AS k, sum(n) AS n, sum(f) AS f, sum(f) / sum(n) AS m, sum(f * f / n) AS q, sum(n) - sum(n * n) / sum(n) - (count(*) - 1) AS room FROM h
@@ -54,11 +54,12 @@ WITH w AS (
 ), p AS (
   SELECT coalesce(m * (1 / rho - 1), 1) AS alpha, coalesce((1 - m) * (1 / rho - 1), 1) AS beta FROM r
 ), v AS (
-  SELECT source FROM (SELECT source, n, f + alpha AS a, n - f + beta AS z FROM h, p)
-  WHERE n >= 20 AND a / (a + z) - 2 * sqrt(a * z / ((a + z) * (a + z) * (a + z + 1))) > 0.5
+  SELECT source, a / (a + z) AS rate, a / (a + z) - 2 * sqrt(a * z / ((a + z) * (a + z) * (a + z + 1))) AS low
+  FROM (SELECT source, n, f + alpha AS a, n - f + beta AS z FROM h, p)
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND v.source IS NULL AS kept
-FROM b LEFT JOIN v ON b.source = v.source
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR coalesce(low > 0.5, false) OR weak_failed AND coalesce(rate, alpha / (alpha + beta)) >= 0.05) AS kept
+FROM b LEFT JOIN v ON b.source = v.source CROSS JOIN p
 """
 
 _OP10 = r"""
