@@ -83,14 +83,32 @@ def cloud(rng, n):
     return list(dict.fromkeys(rng.choice(centres) ^ sum(1 << b for b in {rng.randrange(64) for _ in range(rng.randint(0, 4))}) for _ in range(n)))
 
 
-@pytest.mark.parametrize("group_nodes", [20_000, 10])
+@pytest.mark.parametrize("group_nodes", [20_000, 80])
 def test_links_and_components(spark, group_nodes):
     rng = random.Random(3)
     bits = cloud(rng, 400) + [rng.getrandbits(64) for _ in range(200)]
-    signed = [(n, b - 2**64 if b >> 63 else b) for n, b in enumerate(bits)]
-    edges = simhash.links(spark.createDataFrame(signed, "node long, bits long"), 2, group_nodes=group_nodes)
+    check_links(spark, bits, 2, group_nodes)
+
+
+def check_links(spark, bits, max_bits, group_nodes):
+    signed = [b - 2**64 if b >> 63 else b for b in bits]
+    edges = simhash.links(spark.createDataFrame([(b,) for b in signed], "bits long"), max_bits, group_nodes=group_nodes)
     roots = {r["node"]: r["root"] for r in simhash.connected(edges).collect()}
-    assert [roots.get(n, n) for n in range(len(bits))] == components(bits)
+    groups = components(bits, max_bits)
+    least = {}
+    for b, g in zip(signed, groups, strict=True):
+        least[g] = min(b, least.get(g, b))
+    assert [roots.get(b, b) for b in signed] == [least[g] for g in groups]
+
+
+@pytest.mark.parametrize(("max_bits", "group_nodes"), [(0, 10), (1, 60), (3, 100)])
+def test_other_numbers_of_bits(spark, max_bits, group_nodes):
+    check_links(spark, cloud(random.Random(max_bits), 150), max_bits, group_nodes)
+
+
+def test_a_group_has_a_least_size(spark):
+    with pytest.raises(ValueError):
+        simhash.links(spark.createDataFrame([(1,)], "bits long"), 4, group_nodes=20)
 
 
 def test_components_of_a_long_chain(spark):
@@ -106,17 +124,38 @@ def test_documents(documents, widened):
     base = [rng.choice(words) for _ in range(400)]
     rows = [(10, " ".join(base)), (3, " ".join(base).upper()), (7, None), (5, ""), (9, " \n"), (20, " ".join([*base[:399], "other"])), (21, "quite different"), (21, "quite different")]
     rows += [(30 + n, " ".join(rng.choice(words) for _ in range(rng.randint(0, 30)))) for n in range(40)] + [(None, "quite different"), (None, "alone here it is")]
-    found = simhash.fingerprint_report(widened(documents(rows))).collect()
-    ids = [d for d, _ in rows]
+    check_documents(simhash.fingerprint_report(widened(documents(rows))), rows)
+    assert simhash.fingerprint_report(documents(rows).limit(0)).count() == 0
+
+
+def check_documents(report, rows):
+    """Every row's fingerprint, and the smallest doc_id of its component, by all pairs; null where all ids are null."""
     bits = [brute_print(t) for _, t in rows]
-    known = [n for n, d in enumerate(ids) if d is not None]
-    groups = components([bits[n] for n in known])
+    groups = components(bits)
     smallest = {}
-    for n, g in zip(known, groups, strict=True):
-        smallest[g] = min(ids[n], smallest.get(g, ids[n]))
-    wanted = [(ids[n], f"{bits[n]:016x}", smallest[g]) for n, g in zip(known, groups, strict=True)]
-    by_bits = {b: c for _, b, c in wanted}
-    wanted += [(None, f"{bits[n]:016x}", by_bits.get(f"{bits[n]:016x}")) for n, d in enumerate(ids) if d is None]
-    key = lambda t: tuple(-1 if x is None else x for x in t)
-    assert sorted(((r["doc_id"], r["fingerprint"], r["component_id"]) for r in found), key=key) == sorted(wanted, key=key)
-    assert simhash.fingerprint_report(documents(rows).limit(0)).count() == 0
+    for (d, _), g in zip(rows, groups, strict=True):
+        smallest[g] = min((x for x in (d, smallest.get(g)) if x is not None), default=None)
+    wanted = [(d, f"{b:016x}", smallest[g]) for (d, _), b, g in zip(rows, bits, groups, strict=True)]
+    key = lambda t: tuple(str(x) for x in t)
+    assert sorted(((r["doc_id"], r["fingerprint"], r["component_id"]) for r in report.collect()), key=key) == sorted(wanted, key=key)
+
+
+@pytest.mark.parametrize("bridge", [None, 8, 5, 7])
+def test_a_bridge_links_whatever_its_id(documents, bridge, monkeypatch):
+    """7 and 9 differ in four bits and are linked over a third row, of a null id, of an id of its own, or of 7's id."""
+    rng = random.Random(5)
+    words = [f"w{n}" for n in range(40)]
+    base = [rng.choice(words) for _ in range(300)]
+    near = []
+    for n in range(300):  # a change of one word moves few bits: find a middle text with an end on either side
+        for w in ("x", "y", "z"):
+            near.append(" ".join([*base[:n], w, *base[n + 1 :]]))
+    middle = " ".join(base)
+    m = brute_print(middle)
+    ones = [(brute_print(t), t) for t in near]
+    ones = [(b, t) for b, t in ones if 1 <= (b ^ m).bit_count() <= 2]
+    left, right = next((s, t) for a, s in ones for b, t in ones if 3 <= (a ^ b).bit_count())
+    rows = [(7, left), (9, right), (bridge, middle), (None, "alone it is"), (7, "another text of a repeated id")]
+    check_documents(simhash.fingerprint_report(documents(rows)), rows)
+    found = {r["component_id"] for r in simhash.fingerprint_report(documents(rows[:3])).collect()}
+    assert found == {min(x for x in (7, bridge) if x is not None)}

@@ -11,13 +11,15 @@ ancestors share, and the pattern of those bits. A query accumulates its differen
 whole group as soon as they exceed k; it also leaves groups that it is already linked to. What comes out is a spanning
 forest of a group's links, not its pairs.
 
-Components are found by alternating star contractions over those links, each round a written table: the links and
+A node is a fingerprint, never a doc_id: ids may be null or repeated, fingerprints are not. Components are found by alternating star contractions over those links, each round a written table: the links and
 labels stay distributed. A contraction joins links with one minimum a node, so a node of very many links is a skewed
 join side that Spark may split, never one task's list.
 
 Defined cases: a null or empty text has fingerprint zero and is linked like any other; repeated rows share a
-fingerprint; a null doc_id gets its fingerprint's component, and takes no part in the choice of the smallest; an empty
-table gives an empty result; other columns of the input are ignored.
+fingerprint; rows are linked by their texts alone, so that two texts of one repeated doc_id are two documents; a null
+doc_id links others like any other, but is never the smallest: a component of null ids alone has a null component_id;
+differences of exactly max_bits link; a text of any length is read whole, by one worker, in pieces of 65,536 shingles;
+an empty table gives an empty result; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -157,11 +159,11 @@ def _signed(mask: int) -> int:
 
 
 def _link_batches(batches: Iterator[pa.RecordBatch], max_bits: int, fanout: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (mask, value): the links of each group, as (node, node). A group may span batches."""
+    """Rows (mask, value, bits) sorted by the first two: the links of each group. A group may span batches."""
     held: list[np.ndarray] = []
 
     def search(rows: np.ndarray) -> pa.RecordBatch | None:
-        pairs = list(GrayIndex(rows[:, 3].copy().view(np.uint64), fanout).links(max_bits)) if len(rows) > 1 else []
+        pairs = list(GrayIndex(rows[:, 2].copy().view(np.uint64), fanout).links(max_bits)) if len(rows) > 1 else []
         if not pairs:
             return None
         a, b = rows[[p[0] for p in pairs], 2], rows[[p[1] for p in pairs], 2]
@@ -188,14 +190,16 @@ def _link_batches(batches: Iterator[pa.RecordBatch], max_bits: int, fanout: int)
 
 
 def links(nodes: DataFrame, max_bits: int = MAX_BITS, fanout: int = FANOUT, group_nodes: int = GROUP_NODES) -> DataFrame:
-    """(u, v), u < v: links that connect whatever nodes (node, bits; distinct bits) connect within max_bits."""
+    """(u, v), u < v: pairs of distinct fingerprints (bits) that connect whatever nodes connect within max_bits."""
+    if group_nodes < 2 << max_bits:
+        raise ValueError("a group has at least as many nodes as max_bits + 1 bits can tell apart")
 
     def blocked(rows: DataFrame, masks: list[int]) -> DataFrame:
         keys = F.explode(F.array(*(F.lit(_signed(m)).cast("long") for m in masks)))
-        return rows.select("node", "bits", keys.alias("mask")).withColumn("value", F.col("bits").bitwiseAND(F.col("mask")))
+        return rows.select("bits", keys.alias("mask")).withColumn("value", F.col("bits").bitwiseAND(F.col("mask")))
 
     rows, done = blocked(nodes, _block_masks(_ALL, max_bits + 1)), []
-    for _ in range(3):
+    while True:  # each round fixes a part of the bits left: a group of few bits left has few nodes
         sizes = rows.groupBy("mask", "value").count().where(F.col("count") > group_nodes)
         hot = materialise(sizes.select("mask", "value"), "hot-blocks")
         masks = [r["mask"] for r in hot.select("mask").distinct().collect()]  # no more than blocks, not nodes
@@ -210,10 +214,11 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, fanout: int = FANOUT, grou
         rows = split[0]
         for more in split[1:]:
             rows = rows.union(more)
-    done.append(rows.select("node", "bits", "mask", "value"))
-    every = done[0].select("mask", "value", "node", "bits")
+        rows = materialise(rows, "split-blocks")
+    done.append(rows)
+    every = done[0].select("mask", "value", "bits")
     for more in done[1:]:
-        every = every.union(more.select("mask", "value", "node", "bits"))
+        every = every.union(more.select("mask", "value", "bits"))
     dealt = every.repartition("mask", "value").sortWithinPartitions("mask", "value")
     return map_batches(dealt, lambda b: _link_batches(b, max_bits, fanout), "u long, v long", ordered=True).distinct()
 
@@ -244,10 +249,11 @@ def connected(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE, **options) -> DataFrame:
     """doc_id, bits, component_id: the smallest doc_id that is linked to a document, directly or over others."""
     prints = materialise(fingerprints(docs, shingle), "fingerprints")
-    nodes = materialise(prints.groupBy("bits").agg(F.min("doc_id").alias("node")), "nodes")
-    roots = connected(links(nodes.where("node is not null"), max_bits, **options))
-    of = nodes.join(roots.withColumnRenamed("node", "of_node"), F.col("node") == F.col("of_node"), "left")
-    of = of.select(F.col("bits").alias("of_bits"), F.coalesce("root", "node").alias("component_id"))
+    nodes = materialise(prints.groupBy("bits").agg(F.min("doc_id").alias("least")), "nodes")
+    roots = connected(links(nodes.select("bits"), max_bits, **options))
+    rooted = nodes.join(roots, nodes["bits"] == roots["node"], "left").select("bits", "least", F.coalesce("root", "bits").alias("of_root"))
+    least = rooted.groupBy(F.col("of_root").alias("least_root")).agg(F.min("least").alias("component_id"))
+    of = rooted.join(least, rooted["of_root"] == least["least_root"]).select(F.col("bits").alias("of_bits"), "component_id")
     return prints.join(of, prints["bits"] == of["of_bits"]).select("doc_id", "bits", "component_id")
 
 
