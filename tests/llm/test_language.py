@@ -52,7 +52,46 @@ def test_prediction_reads_only_the_text(documents, model):
     assert key(df, 0) == key(other, 1000)
 
 
-@pytest.mark.parametrize("text", [None, "", "123 !?", " \n", "\x00"])
+def plain_cosines(model, text):
+    """The best cosine of each language, by a plain count of n-grams and a sum over the centroid's columns."""
+    from collections import Counter
+
+    counts = Counter()
+    raw = language.normalise(text)
+    for size in language.SIZES:
+        for i in range(len(raw) - size + 1):
+            gram = int.from_bytes(raw[i : i + size], "big")
+            h = (gram + size) * 2_654_435_761 % 2**32
+            counts[(h ^ (h >> 15)) * 2_654_435_761 % 2**32 >> 32 - 12] += 1
+    weights = {c: (np.log(n) + 1) * float(model.idf[c]) for c, n in counts.items()}
+    norm = sum(w * w for w in weights.values()) ** 0.5
+    best = {}
+    for row, of in zip(model.centroids, model.of, strict=True):
+        cosine = sum(w * float(row[c]) for c, w in weights.items()) / norm
+        best[model.languages[of]] = max(cosine, best.get(model.languages[of], -1))
+    return best
+
+
+def test_predictions_equal_brute_force(documents, model):
+    """Every text's language and score by all cosines with all centroids, each computed on its own."""
+    assert len(model.idf) == 4096 and np.allclose(np.linalg.norm(model.centroids, axis=1), 1, atol=1e-5)
+    texts = [r[1] for r in corpus(40, 5)] + ["x", "the le der", "zzz qqq", "É" * 50]
+    found = {r["doc_id"]: r for r in language.predict(documents(texts), model, "doc_id").collect()}
+    for n, text in enumerate(texts):
+        best = plain_cosines(model, text)
+        top = max(best.values())
+        score = 1 / sum(np.exp((b - top) / language.TEMPERATURE) for b in best.values())
+        assert best[found[n]["lang_pred"]] > top - 1e-5 and abs(found[n]["score"] - score) < 1e-3
+
+
+def test_of_equal_cosines_the_first_language_is_taken():
+    idf = np.ones(4096, np.float32)
+    row = weighted(gram_counts([language.normalise("abc")], 4096, language.SIZES), idf)
+    tied = language.LanguageModel(["aa", "bb"], np.concatenate([row, row]), np.array([0, 1]), idf, np.zeros(language.LENGTHS, np.float32))
+    assert tied.predict(["abc"])[0][:2] == ("aa", 0.5)
+
+
+@pytest.mark.parametrize("text", [None, "", "123 !?", " \n", "\x00", "½ ² ①", "Ⅳ_٣"])
 def test_no_letter_is_und(model, text):
     assert model.predict([text]) == [("und", 0.0, True)]
 

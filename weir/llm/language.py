@@ -13,14 +13,15 @@ Learned are at most per_language texts a language and about max_texts in all (bo
 the text. Their clusters are fitted a language a task; only centroids come to the driver and are broadcast, at most
 max_centroids of dims floats. All texts are scored whole.
 
-Defined cases: a null text or one without a letter is "und", with score 0 and rejected; rows with a null lang are not
+Defined cases: a null text or one without a letter (str.isalpha: numerals such as ½ or ① are none) is "und", with score 0
+and rejected; of languages with equal cosines the first in alphabetical order is taken; a text of any length is read
+whole, its n-grams in blocks of 1 MB; rows with a null lang are not
 learned from; repeated rows are scored each on its own; without any learned language every text is "und"; with too few
 learned texts to measure a length no text with a letter is rejected; other columns of the input are ignored.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -49,7 +50,6 @@ MAX_PIECE = 2048
 TEMPERATURE = 0.05
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]").search
 #: Of the bytes of a lower-case text, all but a-z and what is beyond ASCII become spaces.
 _LETTERS = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
@@ -77,7 +77,7 @@ class LanguageModel:
             score = 1 / np.exp((best - nearest[:, None]) / TEMPERATURE).sum(1)
             far = nearest < self.floor[_length_class(counts, len(self.floor))]
             for i, text in enumerate(texts[at : at + 256]):
-                if text and _LETTER(text):
+                if text and any(map(str.isalpha, text)):
                     found[at + i] = (self.languages[top[i]], float(score[i]), bool(far[i]))
         return found
 
