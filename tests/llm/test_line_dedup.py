@@ -68,6 +68,24 @@ def test_hot_keys_and_many_shards(documents):
     assert sorted((r["doc_id"], r["n_dropped"], r["text"]) for r in kept) == sorted((d, k, t) for d, _, k, t in brute(rows))
 
 
+def test_clashing_columns_stay_as_they_are(documents, widened):
+    from pyspark.sql import functions as F
+
+    rows = corpus(6, 40)
+    wide = widened(documents(rows)).withColumn("n_lines", F.lit("x")).withColumn("n_dropped", F.lit("y"))
+    found = apply_index(wide, LineIndex(wide.sparkSession).insert(wide))
+    assert set(found.columns) == set(wide.columns) and {"of_doc", "drop", "h1", "keeper"} <= set(found.columns)
+    assert sorted((r["doc_id"], r["n_dropped"], r["text"]) for r in found.collect()) == sorted((d, k, t) for d, _, k, t in brute(rows))
+
+
+def test_dealt_filters_split_a_hot_shard(documents):
+    rows = [(d, "A line that nearly every one of the documents holds, word for word") for d in range(300)] + corpus(7, 40)
+    df = documents(rows)
+    index = LineIndex(df.sparkSession, shards=3).insert(df)
+    kept = apply_index(df, index, max_filter_bytes=0, rows_per_task=20).collect()
+    assert sorted((r["doc_id"], r["n_dropped"], r["text"]) for r in kept) == sorted((d, k, t) for d, _, k, t in brute(rows))
+
+
 def test_repeated_rows_are_one_document(documents):
     rows = [(1, "z" * 45)] * 9 + [(2, "z" * 45)]
     assert all(r["n_dropped"] == 0 for r in line_digests(documents(rows)).collect())

@@ -20,8 +20,9 @@ size is at most max_filter_bytes; beyond that the lines are dealt to the filters
 many documents are joined apart, by broadcast: at most references / hot_docs keys can have hot_docs references.
 
 Defined cases: a null text is an empty text, with one empty line; an empty table has no keys; rows that share a doc_id
-count as one document and lose the same lines; null doc_ids count as one document, the smallest; other columns stay as
-they are.
+count as one document and lose the same lines, so that the keeper's rows all keep theirs; null doc_ids count as one
+document, the smallest; a text of any length is read whole, by one worker, and its keys leave it once each; other columns
+stay as they are, but for n_lines and n_dropped, which are the result's.
 """
 
 from __future__ import annotations
@@ -43,6 +44,10 @@ MIN_DOCS = 5
 KEYS_PER_SHARD = 200_000
 MAX_FILTER_BYTES = 32 << 20
 MAX_HOT_KEYS = 10_000
+#: Lines of a shard that meet its filter in one task, where filters are dealt out.
+ROWS_PER_TASK = 2_000_000
+#: Columns of apply_index for its own use.
+OF_DOC, DROP = "__weir_of_doc", "__weir_drop"
 
 _SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 _CONTINUATION = bytes(range(0x80, 0xC0))
@@ -269,7 +274,7 @@ class LineIndex:
     def active(self) -> DataFrame:
         return self.counts.where(F.col("n_docs") >= self.min_docs)
 
-    def candidates(self, docs: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFrame:
+    def candidates(self, docs: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
         """(h1, h2, doc_id) of the documents' lines that the filters let through."""
         size = self.filters.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
         if size <= max_filter_bytes:
@@ -279,10 +284,12 @@ class LineIndex:
             return references(docs, self.min_chars, self.spark.sparkContext.broadcast(bits))
         rows = references(docs, self.min_chars)
         rows = rows.withColumn("shard", F.pmod(F.col("h1"), F.lit(self.shards)).cast("int"))
-        # beyond a broadcast's bound: parts of the lines of a shard meet its filter in turn, part after part
-        salts = 16
-        rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-        dealt = self.filters.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        # beyond a broadcast's bound: parts of the lines of a shard, as many as its references ask for, meet its filter
+        parts = F.greatest(F.lit(1), F.ceil(F.sum("n_docs") / rows_per_task)).cast("int")
+        parts = self.counts.groupBy(F.col("shard").alias("of")).agg(parts.alias("parts"))
+        rows = rows.join(parts, F.col("shard") == F.col("of")).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+        rows = rows.select("shard", "salt", "h1", "h2", "doc_id")
+        dealt = self.filters.join(parts, F.col("shard") == F.col("of")).select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), "bits")
 
         def pass_lines(key: tuple, lines: pa.Table, filters: pa.Table) -> pa.Table:
             lines = lines.select(["h1", "h2", "doc_id"])
@@ -312,7 +319,7 @@ def _apply_batches(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterato
     for batch in batches:
         names = batch.schema.names
         kept, n_lines, n_dropped = [], [], []
-        for text, drop in zip(text_bytes(batch.column(names.index("text"))), batch.column(names.index("drop")).to_pylist(), strict=True):
+        for text, drop in zip(text_bytes(batch.column(names.index("text"))), batch.column(names.index(DROP)).to_pylist(), strict=True):
             lines = text.split(b"\n")
             n_lines.append(len(lines))
             if drop:
@@ -323,17 +330,17 @@ def _apply_batches(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterato
             else:
                 n_dropped.append(0)
                 kept.append(text)
-        columns = [batch.column(i) for i, n in enumerate(names) if n not in ("text", "drop")]
-        own = [n for n in names if n not in ("text", "drop")]
+        columns = [batch.column(i) for i, n in enumerate(names) if n not in ("text", DROP)]
+        own = [n for n in names if n not in ("text", DROP)]
         text = pa.array(kept, pa.binary()).cast(pa.string())
         yield pa.record_batch([*columns, text, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], [*own, "text", "n_lines", "n_dropped"])
 
 
 def apply_index(docs: DataFrame, index: LineIndex, **options) -> DataFrame:
-    """docs (doc_id, text and columns other than drop, n_lines, n_dropped) with kept text, n_lines and n_dropped."""
-    drops = index.dropped(docs, **options)
-    drops = drops.withColumnRenamed("doc_id", "of_doc")
-    rows = docs.join(drops, docs["doc_id"].eqNullSafe(drops["of_doc"]), "left").drop("of_doc")
+    """docs (doc_id, text and any others) with kept text, n_lines and n_dropped, which replace columns of these names."""
+    docs = docs.drop("n_lines", "n_dropped")
+    drops = index.dropped(docs, **options).withColumnsRenamed({"doc_id": OF_DOC, "drop": DROP})
+    rows = docs.join(drops, docs["doc_id"].eqNullSafe(drops[OF_DOC]), "left").drop(OF_DOC)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
     min_chars = index.min_chars
     return map_batches(rows, lambda b: _apply_batches(b, min_chars), ", ".join([*fields, "text string", "n_lines long", "n_dropped long"]))
