@@ -60,6 +60,13 @@ def test_base_spans_equal_brute_force(documents):
         ("AKIAABCDEFGHIJKLMN and pass=hidden", ["key"]),
         ("user=alice uses 0123456789abcdef", ["id"]),
         ("me@mail.example.com token = 0123456789abcdef0123", ["id"]),
+        ("user=alice monkey: bananas", []),  # no name of its own
+        ("turkey=abcdefgh at https://db.example.com/x", []),
+        ("superuser=alice then password=short1", []),
+        ("api_key=ABCDEFGHIJKLMNOP for user=alice", ["id"]),  # one secret is one span
+        ("api_key=short1 for user=alice", ["key", "id"]),
+        ("key=0123456789abcdef for user=alice", ["id"]),
+        ("aws_secret_key=abc123xyz for user=alice", ["key", "id"]),
     ],
 )
 def test_weak_parts_need_a_complement(documents, text, added):
@@ -96,11 +103,14 @@ def linked(text, reach=secrets.REACH):
         flags = re.A
         for m in re.compile(pattern, flags).finditer(text):
             own = "key" if kind == "assign" and len(m[2]) < 12 else kind
+            if kind in ("access", "hex") and len(m[0]) < {"access": 18, "hex": 16}[kind]:
+                continue
             parts.append((m.start(), m.end(), own, len(re.findall(secrets.BREAK, text[: m.start()]))))
     found = []
     for n, (s, e, k, scope) in enumerate(parts):
         near = {p[2] for i, p in enumerate(parts) if i != n and p[3] == scope and p[0] <= e + reach and p[1] >= s - reach}
-        weak = (k in ("id", "endpoint") and near & {"assign", "hex", "key"}) or (k == "key" and near & {"id", "endpoint", "access"})
+        double = any(p[2] in ("assign", "access", "hex") and p[0] < e and p[1] > s for p in parts)
+        weak = (k in ("id", "endpoint") and near & {"assign", "hex", "key"}) or (k == "key" and not double and near & {"id", "endpoint", "access"})
         if k in ("assign", "access", "hex") or weak:
             found.append((s, k, e))
     return sorted(found, key=lambda x: (x[0], secrets.KINDS.index(x[1]), x[2]))
@@ -122,6 +132,36 @@ def test_short_assign_alone_is_not_linked_across_scopes(documents):
     assert [[s["kind"] for s in found[n]["spans"]] for n in range(2)] == [["access"], ["key", "access"]]
 
 
+def test_links_name_the_nearest_complement(documents):
+    texts = ["user=alice pass=hidden1 https://h.example.com/p", "pass=hidden1  user=alice pass=hidden2", "nothing"]
+    found = {r["doc_id"]: r["links"] for r in secrets.secret_digests(documents(texts)).collect()}
+    assert found == {0: "id:0:10>key:11:23,key:11:23>id:0:10,endpoint:24:47>key:11:23", 1: "key:0:12>id:14:24,id:14:24>key:25:37,key:25:37>id:14:24", 2: ""}
+
+
+def test_planted_credentials(documents):
+    """Parts of one credential are reported, look-alikes without a complement are not: recall and precision of the weak spans."""
+    rng = random.Random(2)
+    name = lambda: "".join(rng.choice("abcdefghkmnpqrstuvwxyz") for _ in range(8))
+    filler = lambda n: " ".join(name() for _ in range(n))
+    holders = [lambda: f"user={name()}", lambda: f"account_id: {name()}", lambda: f"https://{name()}.example.com/{name()}", lambda: f"{name()}.internal", lambda: f"{name()}@mail.example.org", lambda: f"db.{name()}.de:5432"]
+    keys = [lambda: f"pass={name()}", lambda: f"pwd: {name()}", lambda: f"private_key={name()}", lambda: f"password={name()}", lambda: f"passphrase = '{name()}"]
+    decoys = [lambda: f"monkey: {name()}", lambda: f"{name()}.py", lambda: f"superuser={name()}", lambda: f"turkey={name()}", lambda: name()]
+    texts, wanted = [], []
+    for _ in range(300):
+        a, b = rng.choice(holders)(), rng.choice(keys)()
+        first, second = (a, b) if rng.random() < 0.5 else (b, a)
+        head, between = filler(5) + " ", " " + filler(rng.randint(0, 8)) + " "
+        texts.append(f"{head}{first}{between}{second} {filler(3)}\n\n{rng.choice(decoys)()} {filler(3)}")
+        wanted.append({(len(head), len(head) + len(first)), (len(head) + len(first) + len(between), len(head) + len(first) + len(between) + len(second))})
+        alone = rng.choice([*holders, *keys])()
+        texts.append(f"{filler(4)} {alone} {rng.choice(decoys)()} {filler(4)}")
+        wanted.append(set())
+    found = scanned(documents(texts))
+    told = [{(s["start"], s["end"]) for s in found[n]["spans"] if s["kind"] in ("id", "key", "endpoint")} for n in range(len(texts))]
+    right, told_n, wanted_n = sum(len(t & w) for t, w in zip(told, wanted, strict=True)), sum(map(len, told)), sum(map(len, wanted))
+    assert right >= 0.98 * wanted_n and right >= 0.98 * told_n, (right, told_n, wanted_n)
+
+
 def test_digests(documents):
     text = "token = abcdefghijkl 0123456789abcdef"
     row = secrets.secret_digests(documents([text, None])).orderBy("doc_id").collect()
