@@ -1,7 +1,7 @@
 """Packing documents into token windows by multiway differencing (Karmarkar-Karp).
 
 A document's ids are cut at multiples of the capacity; full pieces are windows of their own. What remains of each
-document joins a batch of bounded size. Within a batch, partial partitions (one multiset of window sums each) are
+document, all of it if it fits a window, joins a batch of bounded size whole: no document that fits is cut. Within a batch, partial partitions (one multiset of window sums each) are
 merged in order of their spread, the largest sums of one with the smallest of the other, so that opposing imbalances
 cancel. If a window then exceeds the capacity, the window count rises and the batch is differenced again.
 
@@ -10,7 +10,9 @@ and what it holds is bounded by its window count, whatever the size of a documen
 run again meets the same rows in the same order and gives the same windows.
 
 Defined cases: a null or empty text is one piece that holds only the end id; repeated rows are packed each on its
-own; an empty table gives no windows; other columns of the input are ignored.
+own; of partial partitions of equal spread the one made first is merged first, so that ties give the same windows again;
+a text of any length is tokenized in parts, and its full pieces leave as they are cut; an empty table gives no windows;
+other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +34,6 @@ from weir.operators.spread import spread
 CAPACITY = 4096
 END_ID = 2
 BATCH_WINDOWS = 192
-#: Remainders are cut to pieces of at most this part of the capacity: small items difference to near-equal windows.
-ITEM_PARTS = 4
 #: Input file bytes that a task should have at least, for its last batch to be a small part of its windows.
 SPREAD_BYTES = 4 << 20
 
@@ -100,7 +100,7 @@ def _padding(length: int, capacity: int) -> int:
 
 
 def _pack_batches(
-    batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int, batch_windows: int, item: int
+    batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int, batch_windows: int
 ) -> Iterator[pa.RecordBatch]:
     encode, end = encoder(path), np.array([end_id], "<u4").tobytes()
     sequence = TaskContext.get().partitionId() << 33
@@ -131,7 +131,7 @@ def _pack_batches(
             tokens, start = len(ids) // 4, 0
             while start < tokens:
                 full = tokens - start >= capacity
-                length = capacity if full else min(item, tokens - start)
+                length = capacity if full else tokens - start
                 piece = (doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), tokens)
                 if full:
                     out.append((*piece, sequence, 0, 0))
@@ -156,14 +156,12 @@ def pack_documents(
     end_id: int = END_ID,
     capacity: int = CAPACITY,
     batch_windows: int = BATCH_WINDOWS,
-    item_parts: int = ITEM_PARTS,
 ) -> DataFrame:
     """One row per piece: where it lies in its document and in its window, and the window's padding.
 
     Window ids are unique and stable for a given scan, but not dense. docs needs doc_id (integer) and text.
     """
     path = tokenizer or default_tokenizer()
-    item = max(1, capacity // item_parts)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = spread(rows, F.col("doc_id"), F.xxhash64("text"), F.col("text"), task_bytes=SPREAD_BYTES)
-    return map_batches(rows, lambda b: _pack_batches(b, path, end_id, capacity, batch_windows, item), SCHEMA, ordered=True)
+    return map_batches(rows, lambda b: _pack_batches(b, path, end_id, capacity, batch_windows), SCHEMA, ordered=True)
