@@ -48,16 +48,45 @@ def make(seed):
     return docs + [(200, None), (201, ""), (202, "--- !!"), (5, docs[5][1]), (None, items[4][1])], items
 
 
-@pytest.mark.parametrize(("seed", "chars"), [(1, 10**6), (2, 10**6), (3, 400)])
-def test_equals_brute_force(spark, documents, widened, seed, chars):
+@pytest.mark.parametrize(("seed", "chars", "size"), [(1, 10**6, 10**6), (2, 10**6, 10**6), (3, 150, 10**6), (4, 150, 500), (5, 10**6, 400)])
+def test_equals_brute_force(spark, documents, widened, seed, chars, size):
     docs, items = make(seed)
-    report = contamination.contamination(widened(documents(docs)), widened(table(spark, items)), max_pattern_chars=chars)
+    report = contamination.contamination(widened(documents(docs)), widened(table(spark, items)), max_pattern_chars=chars, max_benchmark_bytes=size)
     names = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     assert sorted((tuple(r[n] for n in names) for r in report.collect()), key=lambda r: (r[0] is not None, r)) == brute(docs, items)
-    clean = sorted(str(r["doc_id"]) for r in contamination.drop_contaminated(documents(docs), table(spark, items), max_pattern_chars=chars).collect())
+    clean = sorted(str(r["doc_id"]) for r in contamination.drop_contaminated(documents(docs), table(spark, items), max_pattern_chars=chars, max_benchmark_bytes=size).collect())
     assert clean == sorted(str(r[0]) for r in brute(docs, items) if not r[5])
 
 
+@pytest.mark.parametrize("window", [1, 2, 3, 5, 10, 13])
+def test_other_windows(window):
+    docs, items = make(window + 20)
+    rows = [(str(i) if i is not None else "null", (t or "").encode()) for i, t in items]
+    for chars in (10**6, 60):
+        held = contamination._Benchmark.of(rows, window, chars)
+        wanted = {d: (n, k) for d, n, k, *_ in brute([(i, t) for i, (_, t) in enumerate(docs)], items, window)}
+        for i, (_, text) in enumerate(docs):
+            own, hit, names = contamination.normal_words((text or "").encode()), None, set()
+            if len(held.parts) == 1 or held.may_hit(own):
+                for part in held.parts:
+                    hit = contamination._Seeds(part, window).add(own, hit, names)
+            assert (len(own), 0 if hit is None else int(hit.sum())) == wanted[i]
+
+
+def test_many_parts_are_one_pass(spark, documents, monkeypatch):
+    """A benchmark of very many automata: the texts are read once, and nothing is written."""
+    monkeypatch.setattr(contamination, "materialise", lambda *a: pytest.fail("texts were written"))
+    items = [(n, " ".join(f"w{(n * 37 + i * i) % 400}" for i in range(30))) for n in range(200)]
+    assert len(contamination._Benchmark.of([(str(n), t.encode()) for n, t in items], 10, 400).parts) >= 50
+    docs = [(n, f"before {items[n][1]} after" if n % 3 == 0 else f"clean {n} " * 20) for n in range(60)]
+    report = contamination.contamination(documents(docs), table(spark, items), max_pattern_chars=400)
+    assert "Exchange" not in report._jdf.queryExecution().executedPlan().toString()
+    names = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert sorted(tuple(r[n] for n in names) for r in report.collect()) == brute(docs, items)
+    kept = contamination.drop_contaminated(documents(docs), table(spark, items), max_pattern_chars=400)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [n for n in range(60) if n % 3]
+
+
 def test_spans_lie_in_the_original(spark, documents):
     text = "Intro—é: ONE, two;\nThree 4 five six seven eight NINE ten! outro"
     row = contamination.contamination(documents([text]), table(spark, [(1, "one two three 4 five six seven eight nine ten")])).first()
