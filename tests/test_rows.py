@@ -1,8 +1,12 @@
+import datetime
 import json
+import random
 
+import pyarrow as pa
 import pytest
 
 from weir.functions.avro_write import encode, framed
+from weir.operators import rows as rows_module
 from weir.operators.rows import ERROR, LARGE, ROW, RowPath, SKIPPED, encode_rows, failures, outcome_counts, schema_ids, typed_rows, with_routes
 from weir.plans.catalog import CDC_ID, CDC_SCHEMA, FROZEN, TABLES, row_path
 from weir.plans.tables import ColumnSpec, TableSpec
@@ -190,3 +194,52 @@ def test_bytes_column(spark):
         "topic string, partition int, offset long, timestamp long, key binary, value binary, headers array<struct<key: string, value: binary>>",
     )
     assert bytes(typed_rows(encode_rows(df, path, FROZEN), table).first()["y"]) == b"hi"
+
+
+KEYS = [None, b"", b'{"user_id":1}', b'{"user_id":"7"}', b'{"userId":2}', b'{"user_id":3,"more":1}', b'{"user_id":null}', b"{}", b"nope", b"\xff", b'"text"', b'"{\\"user_id\\":4}"', b"[1]",
+        b'{"user_id":5,"__kafka_offset":99,"payload":1}', b'{"user_id":18446744073709551615}', b'{"user_id":true}', b'{"user_id":1.0}', b'{"o_orderkey":3}']
+VALUES = [None, b"", b'{"a":1}', b'{"a": 1e20, "b": "\\u00e9"}', b"1", b"1.5", b"true", b'"text"', b"null", b"[1, 2]", b"{bad", b'{"k": "\x01"}', b'{"k": "\\ud83d"}', b"\xff\xfe", b'{"a":"' + b"x" * 3000 + b'"}',
+          b'{"before": null, "after": {"k": 1}}', b'{"after": null}', b'{"before": [1]}', '{"ü": "日本"}'.encode()]
+HEADERS = [None, [], list({"ce_type": b"t", "ce_id": b"i"}.items()), [("ce_type", b"t"), ("ce_type", b"u"), ("ce_id", b""), ("ce_time", b"now")], [("h", None)], [("h", b"\xff")], [("ce_type", "ü".encode()), ("ce_id", b"i"), ("x", b"y")]]
+
+
+@pytest.mark.parametrize("transform", ["json_events", "cloudevents", "cloudevents_enriched", "json_cdc"])
+@pytest.mark.parametrize("flags", [{}, {"skip_invalid_keys": True, "skip_decode_errors": True}, {"skip_empty_value": False, "max_row_bytes": 1500}])
+@pytest.mark.parametrize("headers", [HEADERS[:4], HEADERS])
+def test_a_batch_gives_the_same_outcomes_as_its_rows(transform, flags, headers):
+    """Directly or by the rules in full: every outcome of a batch is that of its row alone."""
+    rng = random.Random(1)
+    path = row_path(transform, **flags)
+    path.wire = False
+    topic = next(iter(path.topics))
+    rows = []
+    for n in range(1500):
+        key, value = rng.choice(KEYS), rng.choice(VALUES)
+        at = rng.choice([None, -1, 0, 5, 1_700_000_000_123, 253_402_300_800_000, -(10**15)])
+        rows.append(message(value, key, rng.choice([topic, topic, topic, "unrouted"]), rng.choice(headers), at, n))
+    names = ["topic", "partition", "offset", "timestamp", "key", "value", "headers"]
+    kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.struct([("key", pa.string()), ("value", pa.binary())]))]
+    made = [[[{"key": k, "value": v} for k, v in r["headers"]] if n == "headers" and r["headers"] is not None else r[n] for r in rows] for n in names]
+    columns = [pa.array(c, k) for c, k in zip(made, kinds, strict=True)]
+    more = [pa.array([path.topics.get(r["topic"]) for r in rows], pa.string()), pa.array([FROZEN] * len(rows))]
+    batch = pa.record_batch([*columns, *more], [*names, "destination_id", "inserted_at"])
+    plain = RowPath(path.transform, path.topics, path.tables, wire=False, **flags)
+    for fixed in (FROZEN, None):
+        found = rows_module._outcomes(batch.slice(0, 900), path, fixed).to_pylist() + rows_module._outcomes(batch.slice(900), path, fixed).to_pylist()
+        for own, raw in zip(found, rows, strict=True):
+            wanted = plain.outcome(raw, FROZEN)
+            assert {k: own[k] for k in wanted} == wanted, raw
+            assert own["offset"] == raw["offset"] and not any(own[k] for k in ("skip_reason", "stage", "error", "large_json", "cells") if k not in wanted)
+    assert path.direct(path.topics[topic]).keys
+
+
+def test_a_batch_of_avro_gives_the_same_outcomes(spark):
+    from weir.plans import catalog
+
+    orders = spark.createDataFrame([(n, n % 7, "OPF"[n % 3], n * 1.5, datetime.datetime(2020, 1, 1)) for n in range(300)], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp")
+    for changes, schemas, name in ((True, {CDC_ID: CDC_SCHEMA}, "debezium_unwrap"), (False, {catalog.EVENT_ID: catalog.EVENT_SCHEMA}, "avro_events")):
+        path = row_path(name, encoding="avro", schemas=schemas)
+        wired = encode_rows(catalog.order_avro(orders, changes), path, FROZEN).select("offset", "outcome", "cells").collect()
+        plain = row_path(name, encoding="avro", schemas=schemas)
+        plain.wire = False
+        assert sorted(wired) == sorted(encode_rows(catalog.order_avro(orders, changes), plain, FROZEN).select("offset", "outcome", "cells").collect())

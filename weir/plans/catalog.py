@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -177,40 +178,45 @@ def _rows(messages: DataFrame, path: RowPath, *columns: str) -> DataFrame:
     return found.select(*own)
 
 
-def json_events_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(event_messages(_table(spark, sf_dir, "events")), row_path("json_events"))
-
-
-def cloudevents_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(event_messages(_table(spark, sf_dir, "events")), row_path("cloudevents"))
-
-
-def cloudevents_enriched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(event_messages(_table(spark, sf_dir, "events")), row_path("cloudevents_enriched"))
-
+_CDC_NAMES = ("o_orderkey", "payload", "__operation", "__deleted", "__kafka_offset", "__event_timestamp", "__schema")
 
-def json_cdc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ("o_orderkey", "payload", "__before", "__kafka_partition", "__kafka_offset", "__event_timestamp", "__schema")
-    return _rows(order_changes(_table(spark, sf_dir, "orders")), row_path("json_cdc"), *names)
 
+@dataclass(frozen=True)
+class RowQuery:
+    """A query of the row path: the table that messages are made from, how, their path, and the columns returned."""
 
-_CDC_NAMES = ("o_orderkey", "payload", "__operation", "__deleted", "__kafka_offset", "__event_timestamp", "__schema")
+    source: str
+    messages: Callable[[DataFrame], DataFrame]
+    path: Callable[[], RowPath]
+    columns: tuple[str, ...] = ()
 
+    def rows(self, messages: DataFrame) -> DataFrame:
+        return _rows(messages, self.path(), *self.columns)
 
-def debezium_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = row_path("debezium_unwrap", encoding="avro", schemas={CDC_ID: CDC_SCHEMA})
-    return _rows(order_avro(_table(spark, sf_dir, "orders")), path, *_CDC_NAMES)
+    def __call__(self, spark: SparkSession, sf_dir: str) -> DataFrame:
+        return self.rows(self.messages(_table(spark, sf_dir, self.source)))
 
 
-def debezium_denylist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = row_path("debezium_unwrap", encoding="avro", schemas={CDC_ID: CDC_SCHEMA}, removed={"orders": ("o_totalprice", "o_orderdate")})
-    return _rows(order_avro(_table(spark, sf_dir, "orders")), path, *_CDC_NAMES)
+def _cdc_path(**options) -> RowPath:
+    return row_path("debezium_unwrap", encoding="avro", schemas={CDC_ID: CDC_SCHEMA}, **options)
 
 
-def avro_events_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = row_path("avro_events", encoding="avro", schemas={EVENT_ID: EVENT_SCHEMA})
-    names = ("o_orderkey", "payload", "__kafka_offset", "__event_timestamp", "__schema")
-    return _rows(order_avro(_table(spark, sf_dir, "orders"), False), path, *names)
+#: The six transforms over whole tables; bench.py times them over messages made before.
+ROW_QUERIES = {
+    "json_events_rows": RowQuery("events", event_messages, lambda: row_path("json_events")),
+    "cloudevents_rows": RowQuery("events", event_messages, lambda: row_path("cloudevents")),
+    "cloudevents_enriched_rows": RowQuery("events", event_messages, lambda: row_path("cloudevents_enriched")),
+    "json_cdc_rows": RowQuery(
+        "orders", order_changes, lambda: row_path("json_cdc"),
+        ("o_orderkey", "payload", "__before", "__kafka_partition", "__kafka_offset", "__event_timestamp", "__schema"),
+    ),
+    "debezium_rows": RowQuery("orders", order_avro, _cdc_path, _CDC_NAMES),
+    "debezium_denylist": RowQuery("orders", order_avro, lambda: _cdc_path(removed={"orders": ("o_totalprice", "o_orderdate")}), _CDC_NAMES),
+    "avro_events_rows": RowQuery(
+        "orders", lambda orders: order_avro(orders, False), lambda: row_path("avro_events", encoding="avro", schemas={EVENT_ID: EVENT_SCHEMA}),
+        ("o_orderkey", "payload", "__kafka_offset", "__event_timestamp", "__schema"),
+    ),
+}
 
 
 def _outcomes(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -487,12 +493,11 @@ def stream_replay_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = (
-    json_events_rows, cloudevents_rows, cloudevents_enriched_rows, json_cdc_rows, debezium_rows, debezium_denylist, avro_events_rows,
     skip_outcomes, outcome_by_stage, topic_routing_counts, unrouted_topics, framing_ids, event_timestamp_format, avro_logical_types,
     json_name_resolution, numeric_string_keys, required_violations, decimal_rounding, json_canonical_text, surrogate_control_sanitize,
     control_free_text, uuid_canonical, header_last_wins, large_rows, partition_day_counts, schema_evolution_union, missing_columns_antijoin,
     capture_first_n, commit_prefix, consumer_lag_by_topic, ack_latency_percentiles, distinct_rows_ignoring_inserted_at, parity_verdicts,
     stream_replay_equals_batch,
 )
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = ROW_QUERIES | {f.__name__: f for f in _ALL}
 ORACLE_SQL = ORACLE

@@ -31,6 +31,8 @@ class Message:
     headers: dict[str, str]
     value: Any
     schema: str = "{}"
+    #: The text of timestamp_ms, where it is known.
+    time: str | None = None
 
 
 @dataclass(frozen=True)
@@ -40,7 +42,15 @@ class Transform:
     removed: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     def row(self, message: Message, inserted_at: str) -> dict[str, Any]:
-        return {**_keys(self, message), **_READERS[self.name](self, message), **self._common(message, inserted_at)}
+        return {**keys_of(self, message.keys), **self.own(message), **self._common(message, inserted_at)}
+
+    @property
+    def reads_headers(self) -> bool:
+        return self.name in ("cloudevents", "cloudevents_enriched", "json_cdc")
+
+    def own(self, message: Message) -> dict[str, Any]:
+        """The columns that the transform makes of a message, beside the key's members and common ones."""
+        return _READERS[self.name](self, message)
 
     def _common(self, message: Message, inserted_at: str) -> dict[str, Any]:
         return {
@@ -78,8 +88,8 @@ def _member(value: Any, name: str, what: str) -> Any:
 _REPARSED = ("cloudevents", "json_cdc")
 
 
-def _keys(transform: Transform, message: Message) -> dict[str, Any]:
-    keys = message.keys
+def keys_of(transform: Transform, keys: Any) -> dict[str, Any]:
+    """The members of a message's key."""
     if transform.name in _REPARSED and isinstance(keys, str):
         try:
             keys = parse(keys)
@@ -121,7 +131,7 @@ def _debezium(transform: Transform, message: Message) -> dict[str, Any]:
 
 
 def _event(message: Message, **own: Any) -> dict[str, Any]:
-    return {**own, "__event_timestamp": event_time(message.timestamp_ms)}
+    return {**own, "__event_timestamp": message.time or event_time(message.timestamp_ms)}
 
 
 def _cloudevents(transform: Transform, message: Message) -> dict[str, Any]:

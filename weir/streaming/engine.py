@@ -87,6 +87,7 @@ class Writer:
     ):
         self.path, self.options, self.registry, self.connect = path, options, registry, connect
         self.metrics = metrics or Metrics()
+        path.wire = connect is not None  # typed columns do without wire bytes
         self.columns_added_at: float | None = None
         self._ensured: set[str] = set()
 

@@ -26,11 +26,10 @@ _FAILED = {s: f"failed_{s}" for s in ("source", "transform", "encode")}
 
 
 def grouped(outcomes: DataFrame) -> list[Row]:
-    """n and bytes by destination, outcome, skip reason and stage: one aggregation that tells all counters of a batch."""
+    """n, bytes (of wire rows, or of the texts of cells) and the largest row by destination, outcome, skip reason and stage: one aggregation that tells all counters of a batch."""
     by = outcomes.groupBy("destination_id", "outcome", "skip_reason", "stage")
-    size = F.coalesce(F.sum(F.coalesce(F.octet_length("row_bytes"), F.octet_length("large_json"))), F.lit(0))
-    largest = F.coalesce(F.max(F.octet_length("row_bytes")), F.lit(0))
-    return by.agg(F.count(F.lit(1)).alias("n"), size.alias("bytes"), largest.alias("largest")).collect()
+    size = F.coalesce(F.octet_length("row_bytes"), F.octet_length("large_json"), F.octet_length(F.array_join("cells", "")), F.lit(0))
+    return by.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes"), F.max(size).alias("largest")).collect()
 
 
 def worker_tags(config: Config, host: str | None = None) -> dict[str, str]:
