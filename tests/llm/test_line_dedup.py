@@ -139,3 +139,23 @@ def test_cuckoo_filter_is_small_and_rarely_wrong():
     filt = CuckooFilter.of(np.unique(keys))
     others = rng.integers(0, 2**63, 200_000, dtype=np.int64).view(np.uint64)
     assert filt.contains(others).mean() < 0.001 and len(filt.to_bytes()) < 6 * len(keys)
+
+
+def test_the_broadcast_way_moves_no_text(documents):
+    rows = corpus(8, 60) + [(None, "A line that nearly every one of the documents holds, word for word")] * 2
+    rows += [(500 + d, "A line that nearly every one of the documents holds, word for word\nx") for d in range(6)]
+    df = documents(rows)
+    index = LineIndex(df.sparkSession, shards=3).insert(df)
+    kept = apply_index(df, index)
+    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    key = lambda found: sorted((str(r["doc_id"]), r["n_lines"], r["n_dropped"], r["text"]) for r in found.collect())
+    assert key(kept) == key(apply_index(df, index, max_filter_bytes=0))
+
+
+def test_active_keys_that_share_their_first_half():
+    active = line_dedup._Active(np.array([5, 5, 5, 9]), np.array([3, 1, 2, 7]), np.array([30, 10, 20, 70]))
+    h1, h2 = np.array([5, 5, 5, 5, 9, 4, 10]), np.array([1, 2, 3, 4, 7, 1, 1])
+    same, other = np.array([10, 20, 30, 0, 70, 0, 0]), np.array([11] * 7)
+    yes = np.ones(7, bool)
+    assert active.dropped(h1, h2, other, yes).tolist() == [True, True, True, False, True, False, False]
+    assert not active.dropped(h1, h2, same, yes).any() and active.dropped(h1, h2, same, ~yes).tolist() == [True, True, True, False, True, False, False]

@@ -47,7 +47,7 @@ def test_each_stage_takes_its_operators_decision(spark, documents_table):
     assert all(kept[d]["text"] == r["text"] for d, r in lines.items() if d in kept)
     assert all(not (lines[d]["text"].split()) for d in lines.keys() - kept.keys())
     assert all(r["n_chars"] == len(r["text"]) for r in kept.values())
-    groups = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs).collect()}
+    groups = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs, pipeline.NEAR_BITS).collect()}
     assert ids(pipeline.near_dedup(spark, docs, str(DATA))) == set(groups.values())
     bad = {r["doc_id"] for r in contamination.contamination(docs, spark.read.parquet(f"{DATA}/benchmark.parquet")).where("contaminated").collect()}
     assert bad and ids(pipeline.decontaminate(spark, docs, str(DATA))) == ids(docs) - bad
@@ -58,3 +58,23 @@ def test_edges(spark, documents, widened):
     for name, stage in pipeline.STAGES:
         stage(spark, df, str(DATA)).collect()
         assert stage(spark, df.limit(0), str(DATA)).count() == 0, name
+
+
+def test_what_a_stage_wrote_for_itself_goes(spark, documents_table):
+    from weir.sources.shared import shared_folder
+
+    found = pipeline.run(spark, str(DATA))
+    root = Path(shared_folder(spark).removeprefix("file:")) / f"weir-{spark.sparkContext.applicationId}"
+    left = {p.name.rsplit("-", 1)[0] for p in root.iterdir() if p.name.startswith("stage-")}
+    assert "stage-decontaminate" in left and found.count() > 0
+
+
+def test_without(spark, documents, monkeypatch):
+    from weir.llm import common
+
+    docs = documents([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (3, "e")])
+    gone = spark.createDataFrame([(2,), (2,), (None,), (9,)], "doc_id long")
+    for bound in (10, 0):
+        monkeypatch.setattr(common, "MAX_BROADCAST_IDS", bound)
+        assert sorted(r["text"] for r in common.without(docs, gone).collect()) == ["a", "d", "e"]
+    assert common.without(docs, gone.limit(0)).count() == 5

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -10,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.operators.spread import as_bytes, estimated_bytes, spread
-from weir.sources.shared import shared_folder
+from weir.sources.shared import scratch
 
 BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
@@ -19,11 +18,25 @@ BATCH_BYTES = 8 << 20
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Writes df once to the shared folder and reads it back: cuts lineage, and a lost executor loses nothing."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/weir-{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Ids that are broadcast at most: about 100 MB of a task's memory.
+MAX_BROADCAST_IDS = 2_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs but for the rows of the doc_ids given, of which repeated ones and null count for nothing.
+
+    The ids are written and counted first: up to MAX_BROADCAST_IDS they go to the documents, and no text is moved.
+    """
+    own = materialise(ids.select(F.col("doc_id").alias("__weir_gone")).where("__weir_gone is not null").distinct(), "ids")
+    gone = F.broadcast(own) if own.count() <= MAX_BROADCAST_IDS else own
+    return docs.join(gone, docs["doc_id"] == gone["__weir_gone"], "left_anti")
+
+
 def fold(modulus: int, remainder: int, column: str = "doc_id") -> Column:
     """True where crc32(column as text) mod modulus is the remainder; false for null."""
     crc = F.crc32(F.col(column).cast("string").cast("binary"))

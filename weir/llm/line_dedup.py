@@ -15,9 +15,11 @@ failed or repeated job never touches the version in use.
 
 Keys are 128-bit hashes; a shard is a residue of the first half, so that shards are even, and their number follows the
 number of keys, so that a filter stays small. Lines probe the filters first; only the few that a filter lets through
-are joined with the exact table, which drops the filter's false positives. Filters are broadcast only while their total
-size is at most max_filter_bytes; beyond that the lines are dealt to the filters' shards instead. Active keys of very
-many documents are joined apart, by broadcast: at most references / hot_docs keys can have hot_docs references.
+meet the exact table, which drops the filter's false positives. While filters and the exact table's active keys are at most
+max_filter_bytes each, both are broadcast, and a document loses its lines where it lies: no text is moved. Beyond that
+the lines that pass are joined with the exact table, and the texts with their lists of lines to drop; filters beyond the
+bound are dealt out, and the lines to their shards. Active keys of very many documents are joined apart, by broadcast: at
+most references / hot_docs keys can have hot_docs references.
 
 Defined cases: a null text is an empty text, with one empty line; an empty table has no keys; rows that share a doc_id
 count as one document and lose the same lines, so that the keeper's rows all keep theirs; null doc_ids count as one
@@ -27,7 +29,6 @@ stay as they are, but for n_lines and n_dropped, which are the result's.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,13 +38,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.llm.common import map_batches, text_bytes
-from weir.sources.shared import shared_folder
+from weir.sources.shared import scratch
 
 MIN_CHARS = 40
 MIN_DOCS = 5
 KEYS_PER_SHARD = 200_000
 MAX_FILTER_BYTES = 32 << 20
 MAX_HOT_KEYS = 10_000
+#: Bytes of an active key with its keeper.
+ACTIVE_BYTES = 24
 #: Lines of a shard that meet its filter in one task, where filters are dealt out.
 ROWS_PER_TASK = 2_000_000
 #: Columns of apply_index for its own use.
@@ -203,7 +206,7 @@ class LineIndex:
 
     def __init__(self, spark: SparkSession, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, shards: int | None = None):
         self.spark, self.min_chars, self.min_docs, self.shards = spark, min_chars, min_docs, shards
-        self.root = f"{shared_folder(spark)}/weir-lines-{uuid.uuid4().hex}"
+        self.root = scratch(spark, "lines")
         self.version = 0
         self.counts: DataFrame | None = None
         self.filters: DataFrame | None = None
@@ -274,14 +277,29 @@ class LineIndex:
     def active(self) -> DataFrame:
         return self.counts.where(F.col("n_docs") >= self.min_docs)
 
+    def _small_filters(self, max_bytes: int):
+        """All filters, broadcast, by shard; None if they are larger."""
+        size = self.filters.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
+        if size > max_bytes:
+            return None
+        bits: list[bytes] = [b""] * self.shards
+        for row in self.filters.collect():
+            bits[row["shard"]] = bytes(row["bits"])
+        return self.spark.sparkContext.broadcast(bits)
+
+    def broadcast(self, max_bytes: int = MAX_FILTER_BYTES):
+        """Filters and active keys, broadcast; None if either is larger. A key of null doc_ids alone has no keeper."""
+        active = self.active().select("h1", "h2", "keeper")
+        n = active.count()
+        if n * ACTIVE_BYTES > max_bytes or self.min_docs < 2 or (filters := self._small_filters(max_bytes)) is None:
+            return None
+        table = active.toArrow()
+        return filters, self.spark.sparkContext.broadcast(_Active(*(table.column(c).to_numpy() for c in ("h1", "h2", "keeper"))))
+
     def candidates(self, docs: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
         """(h1, h2, doc_id) of the documents' lines that the filters let through."""
-        size = self.filters.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
-        if size <= max_filter_bytes:
-            bits: list[bytes] = [b""] * self.shards
-            for row in self.filters.collect():
-                bits[row["shard"]] = bytes(row["bits"])
-            return references(docs, self.min_chars, self.spark.sparkContext.broadcast(bits))
+        if (bits := self._small_filters(max_filter_bytes)) is not None:
+            return references(docs, self.min_chars, bits)
         rows = references(docs, self.min_chars)
         rows = rows.withColumn("shard", F.pmod(F.col("h1"), F.lit(self.shards)).cast("int"))
         # beyond a broadcast's bound: parts of the lines of a shard, as many as its references ask for, meet its filter
@@ -336,14 +354,70 @@ def _apply_batches(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterato
         yield pa.record_batch([*columns, text, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], [*own, "text", "n_lines", "n_dropped"])
 
 
+class _Active:
+    """The active keys, sorted, with their keepers."""
+
+    def __init__(self, h1: np.ndarray, h2: np.ndarray, keeper: np.ndarray):
+        order = np.lexsort((h2, h1))
+        self.h1, self.h2, self.keeper = h1[order], h2[order], keeper[order]
+
+    def dropped(self, h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Whether a line of this key goes from this document; known is false for a null doc_id."""
+        at = np.searchsorted(self.h1, h1)
+        held, keeper = np.zeros(len(h1), bool), np.zeros(len(h1), np.int64)
+        open_ = np.arange(len(h1))
+        while len(open_):  # once, but for keys that share their first half
+            open_ = open_[at[open_] < len(self.h1)]
+            open_ = open_[self.h1[at[open_]] == h1[open_]]
+            same = self.h2[at[open_]] == h2[open_]
+            held[open_[same]] = True
+            keeper[open_[same]] = self.keeper[at[open_[same]]]
+            open_ = open_[~same]
+            at[open_] += 1
+        return held & (~known | (doc != keeper))
+
+
+def _drop_batches(batches: Iterator[pa.RecordBatch], min_chars: int, filters, active) -> Iterator[pa.RecordBatch]:
+    """Each document without the lines that it loses: filters first, then the exact keys."""
+    for batch in batches:
+        names = batch.schema.names
+        split = [t.split(b"\n") for t in text_bytes(batch.column(names.index("text")))]
+        rows, places, h1, h2 = [], [], [], []
+        for row, lines in enumerate(split):
+            for place, line in enumerate(lines):
+                if len(line) >= min_chars and (key := line_key(line, min_chars)):
+                    rows.append(row)
+                    places.append(place)
+                    h1.append(key[0])
+                    h2.append(key[1])
+        keys = pa.record_batch([pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], ["h1", "h2"])
+        some = np.flatnonzero(_passes(keys, filters.value))
+        ids = batch.column(names.index("doc_id")).cast(pa.int64())
+        of = np.array(rows, np.int64)[some]
+        doc, known = ids.fill_null(0).to_numpy()[of], ids.is_valid().to_numpy(zero_copy_only=False)[of]
+        gone = some[active.value.dropped(np.array(h1, np.int64)[some], np.array(h2, np.int64)[some], doc, known)]
+        n_dropped = [0] * len(split)
+        for i in gone.tolist():
+            split[rows[i]][places[i]] = None
+            n_dropped[rows[i]] += 1
+        n_lines = [len(lines) for lines in split]
+        kept = [b"\n".join([x for x in lines if x is not None]) for lines in split]
+        columns = [batch.column(i) for i, n in enumerate(names) if n != "text"]
+        text = pa.array(kept, pa.binary()).cast(pa.string())
+        yield pa.record_batch([*columns, text, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], [*(n for n in names if n != "text"), "text", "n_lines", "n_dropped"])
+
+
 def apply_index(docs: DataFrame, index: LineIndex, **options) -> DataFrame:
     """docs (doc_id, text and any others) with kept text, n_lines and n_dropped, which replace columns of these names."""
     docs = docs.drop("n_lines", "n_dropped")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
+    schema, min_chars = ", ".join([*fields, "text string", "n_lines long", "n_dropped long"]), index.min_chars
+    if (held := index.broadcast(options.get("max_filter_bytes", MAX_FILTER_BYTES))) is not None:
+        rows = docs.withColumn("text", F.col("text").cast("string"))
+        return map_batches(rows, lambda b: _drop_batches(b, min_chars, *held), schema)
     drops = index.dropped(docs, **options).withColumnsRenamed({"doc_id": OF_DOC, "drop": DROP})
     rows = docs.join(drops, docs["doc_id"].eqNullSafe(drops[OF_DOC]), "left").drop(OF_DOC)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
-    min_chars = index.min_chars
-    return map_batches(rows, lambda b: _apply_batches(b, min_chars), ", ".join([*fields, "text string", "n_lines long", "n_dropped long"]))
+    return map_batches(rows, lambda b: _apply_batches(b, min_chars), schema)
 
 
 def dedup_lines(docs: DataFrame, **options) -> DataFrame:

@@ -12,7 +12,6 @@ ordered by their texts' hash, then text; an empty table gives an empty table; ot
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 
 from weir.llm.common import input_bytes, map_batches, text_bytes
 from weir.llm.tokens import default_tokenizer, encoder
-from weir.sources.shared import shared_folder
+from weir.sources.shared import scratch
 
 END_ID = 1
 ROW_GROUP_BYTES = 16 << 20
@@ -129,6 +128,6 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
 def store_and_digest(docs: DataFrame, **options) -> DataFrame:
     """Writes the documents' ids to a new folder in the shared storage, and reads their digests back."""
     spark = docs.sparkSession
-    path = f"{shared_folder(spark)}/weir-tokens-{uuid.uuid4().hex}"
+    path = scratch(spark, "tokens")
     write_tokens(docs, path, **options)
     return token_digests(spark, path)
