@@ -104,3 +104,15 @@ def test_http_registry():
     answers[:] = [OSError("down")] * 10
     with pytest.raises(RegistryError):
         registry.resolve([9])
+
+
+def test_commits_and_offsets_in_flight_of_some_partitions():
+    tracker = OffsetTracker()
+    tickets = []
+    for partition in (0, 1):
+        tracker.assign("t", partition)
+        tickets += [tracker.track("t", partition, o) for o in (3, 4)]
+    tracker.done(tickets[0])
+    tracker.done(tickets[2])
+    assert tracker.committable() == [("t", 0, 4), ("t", 1, 4)] and tracker.committable({("t", 1)}) == [("t", 1, 4)] and tracker.committable([]) == []
+    assert tracker.in_flight() == 2 and tracker.in_flight({("t", 0)}) == 1 and tracker.in_flight({("u", 0)}) == 0

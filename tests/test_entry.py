@@ -8,8 +8,9 @@ import pytest
 
 import __spark_entry__ as entry_module
 from weir import cli
-from weir.plans.catalog import QUERIES
+from weir.plans import catalog, checks
 
+QUERIES = catalog.QUERIES | checks.QUERIES
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
 

@@ -23,8 +23,7 @@ def columns(text):
 NATIVE = {
     "framing_ids": {"o_orderkey"}, "topic_routing_counts": {"event_id", "event_type", "value", "props"}, "unrouted_topics": {"event_id"},
     "event_timestamp_format": {"event_id", "ts"}, "commit_prefix": {"event_id", "user_id"}, "consumer_lag_by_topic": {"event_type", "user_id"},
-    "ack_latency_percentiles": {"value"}, "header_last_wins": {"event_id", "event_type"}, "uuid_canonical": {"event_id"}, "control_free_text": {"event_id", "props"},
-    "schema_evolution_union": {"o_orderkey", "o_orderstatus"}, "missing_columns_antijoin": {"event_type"},
+    "ack_latency_percentiles": {"value"},
 }
 
 

@@ -8,7 +8,7 @@ import pytest
 
 from weir.operators import tables
 from weir.operators.rows import encode_rows, typed_rows
-from weir.operators.tables import ADDED, CREATED, UNCHANGED, TableError, check_partitioning, ensure_table, missing_columns, table_name
+from weir.operators.tables import ADDED, CREATED, UNCHANGED, TableError, check_partitioning, ensure_table, table_name
 from weir.plans.catalog import FROZEN, TABLES, row_path
 from weir.plans.tables import ColumnSpec, TableSpec
 from weir.sources.capture import read_capture, stream_capture
@@ -215,11 +215,6 @@ def test_bad_partitioning(kind, column, type_):
         check_partitioning(TableSpec("p.d.t", (ColumnSpec("at", type_),), (), kind, column))
 
 
-def test_missing_columns(spark):
-    names = lambda *x: spark.createDataFrame([(n,) for n in x], "name string")
-    assert {r["name"] for r in missing_columns(names("a", "b", "c"), names("b", "b")).collect()} == {"a", "c"}
-
-
 def test_metrics_and_health():
     metrics = Metrics(tags={"p": 'a"b'})
     metrics.add({"rows": 5, "errors": 0})

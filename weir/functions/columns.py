@@ -40,27 +40,6 @@ def framing_id(value: Column | str) -> Column:
     return F.when(framed, F.when(short != 0, short).otherwise(wide))
 
 
-def header_map(headers: Column | str) -> Column:
-    """Headers as a map of text; the last value of a repeated name, at its first place."""
-    h = _c(headers)
-    names = F.array_distinct(F.transform(h, lambda x: x["key"]))
-    last = lambda name: F.element_at(F.filter(h, lambda x: x["key"] == name), -1)["value"].cast("string")
-    return F.map_from_arrays(names, F.transform(names, last))
-
-
 def event_timestamp(ms: Column | str) -> Column:
     """Epoch milliseconds as text with six digits of the second (session time zone: UTC)."""
     return F.date_format(F.timestamp_millis(_c(ms).cast("long")), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-
-
-def canonical_uuid(text: Column | str) -> Column:
-    """A UUID in lower case with hyphens; other text as it is."""
-    t = _c(text)
-    digits = F.lower(F.replace(t, F.lit("-"), F.lit("")))
-    hyphened = F.regexp_replace(digits, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
-    return F.when(digits.rlike("^[0-9a-f]{32}$"), hyphened).otherwise(t)
-
-
-def mend_controls(text: Column | str) -> Column:
-    """Control characters go, but for tab, line feed and carriage return."""
-    return F.regexp_replace(_c(text), "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]", "")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Container
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
@@ -97,16 +98,20 @@ class OffsetTracker:
         if self._generation.get((topic, partition)) == generation and (topic, partition) in self._open:
             self._open[topic, partition].pop(offset, None)
 
-    def committable(self) -> list[tuple[str, int, int]]:
-        """(topic, partition, offset to commit) of the partitions with a done prefix, in order."""
+    def committable(self, only: Container[tuple[str, int]] | None = None) -> list[tuple[str, int, int]]:
+        """(topic, partition, offset to commit) of the partitions with a done prefix, in order; of those given, or of all."""
         found = []
         for at, last in sorted(self._seen.items()):
-            if at in self._open:
+            if at in self._open and (only is None or at in only):
                 first = min(self._open[at], default=last + 1)
                 if first > self._first[at]:
                     found.append((*at, first))
         return found
 
+    def in_flight(self, only: Container[tuple[str, int]] | None = None) -> int:
+        """How many offsets are not done; of the partitions given, or of all."""
+        return sum(len(pending) for at, pending in self._open.items() if only is None or at in only)
+
     def oldest_age(self, now: float) -> float | None:
         times = [t for pending in self._open.values() for t in pending.values()]
         return now - min(times) if times else None

@@ -65,11 +65,6 @@ def partition_value(table: TableSpec) -> Column:
     return F.coalesce(F.date_format(at, form), F.lit("__null__"))
 
 
-def missing_columns(declared: DataFrame, live: DataFrame) -> DataFrame:
-    """The declared columns (name) that a live table lacks: an anti-join on the name."""
-    return declared.join(live.select("name").distinct(), "name", "left_anti")
-
-
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

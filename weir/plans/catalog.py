@@ -6,7 +6,6 @@ message of topic events, with faults by residues of its id; every order is a cha
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -17,11 +16,10 @@ from pyspark.sql import functions as F
 from weir.functions.avro import decimal_value
 from weir.functions.avro_write import encode, framed
 from weir.functions.canonical import JsonError, dump, parse, parse_lossy
-from weir.functions.columns import canonical_uuid, event_timestamp, framing_id, header_map, mend_controls, routed
+from weir.functions.columns import event_timestamp, framing_id, routed
 from weir.operators import delivery
 from weir.operators.rows import OUTCOMES, RowPath, encode_rows, outcome_counts, typed_rows, with_routes
 from weir.operators.spread import spread
-from weir.operators.tables import missing_columns
 from weir.plans.oracle import ORACLE
 from weir.plans.tables import ColumnSpec, TableSpec
 from weir.plans.transforms import Transform
@@ -377,45 +375,6 @@ def surrogate_control_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.mapInArrow(lambda b: _canonical_batches(b, True), "event_id long, canonical string")
 
 
-def control_free_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The native repair of control characters, over all event properties."""
-    text = F.concat(F.lit("\x01\t"), F.col("props"), F.lit("\x1f\n"))
-    return _table(spark, sf_dir, "events").select("event_id", mend_controls(text).alias("mended"))
-
-
-def uuid_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """UUIDs from hashes of event ids, given with and without hyphens and in capitals; one in five is no UUID."""
-    digits = F.md5(F.col("event_id").cast("string"))
-    given = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("x"), digits)).otherwise(F.upper(digits))
-    return _table(spark, sf_dir, "events").select("event_id", canonical_uuid(given).alias("uuid"))
-
-
-def header_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each event's message with a header given three times, another twice and one once: the last value counts."""
-    header = lambda name, value: F.struct(F.lit(name).alias("key"), value.cast("string").cast("binary").alias("value"))
-    n = F.col("event_id")
-    headers = F.array(header("a", n), header("b", n), header("a", n + 1), header("c", F.col("event_type")), header("b", n + 2), header("a", n + 3))
-    named = _table(spark, sf_dir, "events").select("event_id", header_map(headers).alias("m"))
-    return named.select("event_id", F.array_join(F.map_keys("m"), ",").alias("names"), *(F.col("m")[k].alias(k) for k in "abc"))
-
-
-LARGE_BYTES = 4000
-
-
-def large_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as messages whose rows go the large way above a limit of bytes."""
-    docs = _table(spark, sf_dir, "documents")
-    messages = docs.select(
-        F.lit("docs").alias("topic"), F.lit(0).alias("partition"), F.col("doc_id").alias("offset"), F.lit(0).cast("long").alias("timestamp"),
-        F.lit(None).cast("binary").alias("key"), F.to_json(F.struct(F.repeat(F.lit("x"), F.octet_length("text").cast("int")).alias("t"))).cast("binary").alias("value"),
-        F.lit(None).cast("array<struct<key: string, value: binary>>").alias("headers"),
-    )
-    path = RowPath(Transform("json_events", CLUSTER), {"docs": "p.d.docs"}, {"p.d.docs": TableSpec("p.d.docs", _columns("payload JSON, __operation STRING, " + _KAFKA))}, max_row_bytes=LARGE_BYTES)
-    found = encode_rows(messages, path, FROZEN)
-    size = F.coalesce(F.octet_length("row_bytes"), F.octet_length("large_json"))
-    return found.select(F.col("offset").alias("doc_id"), "outcome", size.cast("long").alias("n_bytes"))
-
-
 def partition_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from weir.operators.tables import partition_value
 
@@ -424,21 +383,6 @@ def partition_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(partition_value(path.tables[EVENTS_TABLE]).alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def schema_evolution_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders written before and after a column was added, as one table: the old ones have null there."""
-    orders = _table(spark, sf_dir, "orders")
-    old = orders.where("o_orderkey % 2 = 0").select("o_orderkey", "o_orderstatus")
-    new = orders.where("o_orderkey % 2 = 1").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    return old.unionByName(new, allowMissingColumns=True)
-
-
-def missing_columns_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared columns that a live table lacks, from names of event types and order states."""
-    declared = _table(spark, sf_dir, "events").select(F.col("event_type").alias("name")).distinct()
-    live = _table(spark, sf_dir, "events").where("event_id % 2 = 0 and event_type < 'l'").select(F.col("event_type").alias("name"))
-    return missing_columns(declared, live)
-
-
 def capture_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A capture's cap: the first 50 messages of each topic, by partition and offset."""
     found = first_messages(event_messages(_table(spark, sf_dir, "events")), 50)
@@ -479,10 +423,10 @@ def parity_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_replay_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table replayed as a stream, in the row path, to Parquet; what arrived is read back."""
-    from weir.sources.shared import shared_folder
+    from weir.sources.shared import scratch
 
     events = _table(spark, sf_dir, "events")
-    root = f"{shared_folder(spark)}/weir-replay-{uuid.uuid4().hex}"
+    root = scratch(spark, "replay")
     stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")  # a stream's path is a folder or a glob
     path = row_path("json_events")
     outcomes = encode_rows(event_messages(stream), path, FROZEN)
@@ -495,8 +439,7 @@ def stream_replay_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ALL = (
     skip_outcomes, outcome_by_stage, topic_routing_counts, unrouted_topics, framing_ids, event_timestamp_format, avro_logical_types,
     json_name_resolution, numeric_string_keys, required_violations, decimal_rounding, json_canonical_text, surrogate_control_sanitize,
-    control_free_text, uuid_canonical, header_last_wins, large_rows, partition_day_counts, schema_evolution_union, missing_columns_antijoin,
-    capture_first_n, commit_prefix, consumer_lag_by_topic, ack_latency_percentiles, distinct_rows_ignoring_inserted_at, parity_verdicts,
+    partition_day_counts, capture_first_n, commit_prefix, consumer_lag_by_topic, ack_latency_percentiles, distinct_rows_ignoring_inserted_at, parity_verdicts,
     stream_replay_equals_batch,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = ROW_QUERIES | {f.__name__: f for f in _ALL}

@@ -31,7 +31,6 @@ def _fields(*names: str) -> str:
     return ",".join(_FIELD_TEXTS[n] for n in names)
 
 
-_DIGITS = "md5(event_id::VARCHAR)"
 _US = "(epoch_us(ts) - CASE WHEN event_id % 2 = 1 THEN 2000000000000000 ELSE 0 END)"
 _OF_DAY = f"((({_US} % 86400000000) + 86400000000) % 86400000000)"
 
@@ -126,29 +125,8 @@ SELECT event_id, '{"b":[' || event_id || ',1e20,1.5,1.5e-7,true,null],"a":"é/\\
     "surrogate_control_sanitize": """
 SELECT event_id, CASE event_id % 4 WHEN 0 THEN '{"k":"' || event_id || chr(65533) || '"}' WHEN 1 THEN '{"k":"' || event_id || '"}'
   WHEN 3 THEN '{"k":"' || event_id || chr(128512) || '"}' END AS canonical FROM events""",
-    "control_free_text": "SELECT event_id, chr(9) || props || chr(10) AS mended FROM events",
-    "uuid_canonical": f"""
-SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'x' || {_DIGITS} ELSE {_DIGITS}[1:8] || '-' || {_DIGITS}[9:12] || '-' || {_DIGITS}[13:16]
-  || '-' || {_DIGITS}[17:20] || '-' || {_DIGITS}[21:32] END AS uuid FROM events""",
-    "header_last_wins": """
-SELECT event_id, 'a,b,c' AS names, (event_id + 3)::VARCHAR AS a, (event_id + 2)::VARCHAR AS b, event_type AS c FROM events""",
-    "large_rows": """
-WITH b AS (
-  SELECT doc_id, strlen(coalesce(text, '')) AS n, length(doc_id::VARCHAR) AS digits,
-    8 + strlen(coalesce(text, '')) AS payload FROM documents),
-s AS (
-  SELECT doc_id, digits, payload, payload + 1 + CASE WHEN payload < 128 THEN 1 WHEN payload < 16384 THEN 2 WHEN payload < 2097152 THEN 3 ELSE 4 END
-    + 6 + 2 + (1 + CASE WHEN doc_id < 128 THEN 1 WHEN doc_id < 16384 THEN 2 WHEN doc_id < 2097152 THEN 3 WHEN doc_id < 268435456 THEN 4 ELSE 5 END)
-    + 6 + 4 + 28 + 28 AS wire FROM b)
-SELECT doc_id, CASE WHEN wire > 4000 THEN 'large' ELSE 'row' END AS outcome,
-  (CASE WHEN wire > 4000 THEN payload + digits + 202 ELSE wire END)::BIGINT AS n_bytes FROM s""",
     "partition_day_counts": f"""
 SELECT strftime(make_timestamp(epoch_us(ts) // 1000 * 1000), '%Y-%m-%d') AS day, count(*)::BIGINT AS n FROM events WHERE {_GOOD} GROUP BY 1""",
-    "schema_evolution_union": """
-SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS o_orderpriority FROM orders""",
-    "missing_columns_antijoin": """
-SELECT DISTINCT event_type AS name FROM events
-EXCEPT SELECT event_type FROM events WHERE event_id % 2 = 0 AND event_type < 'l'""",
     "capture_first_n": """
 SELECT topic, partition, "offset", timestamp FROM (
   SELECT CASE WHEN event_id % 29 = 0 THEN 'unrouted' ELSE 'events' END AS topic, (user_id % 4)::INTEGER AS partition, event_id AS "offset",
