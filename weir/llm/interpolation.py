@@ -19,7 +19,8 @@ power of two) only to learn the weights, never to score.
 
 Defined cases: a null or empty text is one end token; repeated rows count once each; a null doc_id is a training
 document outside the fold; without training documents all counts are zero and the model is uniform; without a fold the
-weights are equal; an empty table gives an empty result; other columns of the input are ignored.
+weights are equal; ties do not occur, as no order decides anything; a text of any length is one row of a block, which is
+then as large as the text; an empty table gives an empty result; other columns of the input are ignored.
 """
 
 from __future__ import annotations

@@ -13,7 +13,10 @@ documents are scored, whole.
 
 Defined cases: a null text is an empty one, whose vector is zero: it gets the share of label 1 among labelled rows, as
 does every text if nothing is labelled (0.5 then); labels other than 0 and 1, and null ones, are not learned; a
-document labelled twice counts with each label; other columns of either input are ignored.
+document labelled twice counts with each label; of learned texts that are equally near at the last place among the
+neighbours, those that numpy's partition puts first vote, the same ones whenever the model and the text are the same; a text
+of any length is read whole, its n-grams in blocks of 1 MB; an empty table gives an empty result; other columns of either
+input are ignored.
 """
 
 from __future__ import annotations
