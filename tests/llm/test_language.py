@@ -84,6 +84,14 @@ def test_predictions_equal_brute_force(documents, model):
         assert best[found[n]["lang_pred"]] > top - 1e-5 and abs(found[n]["score"] - score) < 1e-3
 
 
+def test_labels_are_bounded(documents, monkeypatch):
+    from weir.llm import features
+
+    monkeypatch.setattr(features, "MAX_LABELS", 2)
+    with pytest.raises(ValueError, match="more than 2"):
+        language.fit(documents(corpus(12)))
+
+
 def test_of_equal_cosines_the_first_language_is_taken():
     idf = np.ones(4096, np.float32)
     row = weighted(gram_counts([language.normalise("abc")], 4096, language.SIZES), idf)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 _MULTIPLIER = np.uint32(2_654_435_761)
 #: Bytes of text whose n-grams are hashed at once.
 _BLOCK = 1 << 20
+#: Labels of a classifier at most: they come to the driver, and into one map of a plan.
+MAX_LABELS = 3000
 
 
 def gram_counts(texts: list[bytes], dims: int, sizes: tuple[int, ...], out: np.ndarray | None = None) -> np.ndarray:
@@ -43,11 +45,13 @@ def labelled_sample(rows: DataFrame, label: str, per_label: int, total: int) ->
 
     rows has text and the label, both not null. Each label's texts of the smallest hashes are in, as many as the bound or
     all it has: copies are one text, and the same rows give the same sample however they are dealt out. Whole texts are
-    kept. Only hashes are counted, and only texts below a hash that about bound distinct texts are below are moved.
+    kept. More than MAX_LABELS labels raise ValueError. Only hashes are counted, and only texts below a hash that about bound distinct texts are below are moved.
     """
     hashed = rows.withColumn("hash", F.xxhash64(F.lit("sample"), "text"))
     of_hash = hashed.groupBy(label, "hash").agg(F.count(F.lit(1)).alias("n"))
-    known = of_hash.groupBy(label).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).collect()
+    known = of_hash.groupBy(label).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).limit(MAX_LABELS + 1).collect()
+    if len(known) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} values of {label}")
     totals = {r[label]: r["n"] for r in known}
     if not totals:
         return rows.select(label, "text", F.lit(0).cast("long").alias("hash")), totals
