@@ -92,7 +92,7 @@ def test_links_and_components(spark, group_nodes):
 
 def check_links(spark, bits, max_bits, group_nodes):
     signed = [b - 2**64 if b >> 63 else b for b in bits]
-    edges = simhash.links(spark.createDataFrame([(b,) for b in signed], "bits long"), max_bits, group_nodes=group_nodes)
+    edges = simhash.links(spark.createDataFrame([(b, b) for b in signed], "node long, bits long"), max_bits, group_nodes=group_nodes)
     roots = {r["node"]: r["root"] for r in simhash.connected(edges).collect()}
     groups = components(bits, max_bits)
     least = {}
@@ -159,3 +159,103 @@ def test_a_bridge_links_whatever_its_id(documents, bridge, monkeypatch):
     check_documents(simhash.fingerprint_report(documents(rows)), rows)
     found = {r["component_id"] for r in simhash.fingerprint_report(documents(rows[:3])).collect()}
     assert found == {min(x for x in (7, bridge) if x is not None)}
+
+
+def brute_words(text, shingle, words):
+    """Bit by bit, the further hashes by the published finaliser of SplitMix64."""
+    parts = (text or "").encode().lower().split()
+    if not parts:
+        return [0] * words
+    hashes = [xxhash.xxh64_intdigest(b" ".join(parts[i : i + shingle]), seed=42) for i in range(max(1, len(parts) - shingle + 1))]
+
+    def mixed(h, word):
+        if not word:
+            return h
+        z = (h + word * 0x9E3779B97F4A7C15) % 2**64
+        z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        z = (z ^ z >> 27) * 0x94D049BB133111EB % 2**64
+        return z ^ z >> 31
+
+    return [sum(1 << b for b in range(64) if 2 * sum(mixed(h, w) >> b & 1 for h in hashes) > len(hashes)) for w in range(words)]
+
+
+@pytest.mark.parametrize("text", TEXTS[:-1])
+def test_fingerprints_of_several_words(text):
+    assert simhash.fingerprint_words(text.encode(), 2, 5) == brute_words(text, 2, 5)
+    assert simhash.fingerprint_words(text.encode(), 3, 1) == [brute_print(text)]
+
+
+def edited(rng, n, longest=160):
+    """Texts, many of them another with words changed, dropped or put in."""
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randint(30, longest))) for _ in range(n // 4)]
+    while len(texts) < n:
+        words = rng.choice(texts[: n // 4]).split()
+        for _ in range(rng.choice([0, 1, 1, 2, 4, 12])):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        texts.append(" ".join(words))
+    return texts
+
+
+@pytest.mark.parametrize(("words", "group_nodes"), [(2, 20_000), (5, 20_000), (5, 64)])
+def test_components_of_several_words(spark, documents, words, group_nodes):
+    rng, max_bits, check_bits = random.Random(words), 4, 20
+    texts = [*edited(rng, 160), "", None, "one", "one"]
+    prints = [tuple(brute_words(t, 2, words)) for t in texts]
+    signed = [tuple(b - 2**64 if b >> 63 else b for b in p) for p in prints]
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(signed)], ", ".join(["i long", *(f"b{w} long" for w in range(words))]))
+    node = {r["i"]: r["node"] for r in rows.selectExpr("i", f"xxhash64({', '.join(f'b{w}' for w in range(words))}) AS node").collect()}
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def join(i, j):
+        a, b = find(i), find(j)
+        root[max(a, b)] = min(a, b)
+
+    checks = min(2, words - 1)
+    for w in range(words):
+        classes = {}
+        for i in range(len(texts)):
+            classes.setdefault(prints[i][w], []).append(i)
+        stand = [min(members, key=node.get) for members in classes.values()]
+        for members in classes.values():
+            for i in members:
+                join(members[0], i)
+        for i in stand:
+            for j in stand:
+                far = sum((prints[i][(w + 1 + n) % words] ^ prints[j][(w + 1 + n) % words]).bit_count() for n in range(checks))
+                if (prints[i][w] ^ prints[j][w]).bit_count() <= max_bits and far <= check_bits:
+                    join(i, j)
+    got = simhash.near_duplicates(documents(list(enumerate(texts))), max_bits, 2, words, check_bits=check_bits, group_nodes=group_nodes).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: find(i) for i in range(len(texts))}
+    assert len({find(i) for i in range(len(texts))}) < 0.6 * len(texts)
+
+
+def test_many_texts_that_agree_in_a_word_are_one_class(spark, documents):
+    base = " ".join(f"w{i}" for i in range(400))
+    texts = [f"{base} x{i}" for i in range(300)] + ["other words altogether, that is to say none of those"]
+    got = simhash.near_duplicates(documents(list(enumerate(texts))), 4, 2, 8, group_nodes=32).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == dict.fromkeys(range(300), 0) | {300: 300}
+
+
+def test_recall_of_similar_texts(spark, documents):
+    """Of pairs whose sets of five-word shingles have a similarity of 0.8 or more, at least 0.9 come into one component; others do not."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(2000)]
+    texts, pairs = [], []
+    for _ in range(150):
+        words = rng.choices(vocabulary, k=rng.randint(60, 400))
+        other = list(words)
+        for _ in range(rng.randint(1, max(1, len(words) // 50))):
+            other[rng.randrange(len(other))] = rng.choice(vocabulary)
+        a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (words, other))
+        if len(a & b) >= 0.8 * len(a | b):
+            pairs.append((len(texts), len(texts) + 1))
+        texts += [" ".join(words), " ".join(other)]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(documents(list(enumerate(texts))), 4, 2, 8).collect()}
+    assert len(pairs) > 100 and sum(got[a] == got[b] for a, b in pairs) >= 0.9 * len(pairs)
+    assert all(c // 2 == d // 2 for d, c in got.items())

@@ -11,7 +11,14 @@ ancestors share, and the pattern of those bits. A query accumulates its differen
 whole group as soon as they exceed k; it also leaves groups that it is already linked to. What comes out is a spanning
 forest of a group's links, not its pairs.
 
-A node is a fingerprint, never a doc_id: ids may be null or repeated, fingerprints are not. Components are found by alternating star contractions over those links, each round a written table: the links and
+A fingerprint may have several words, of 64 bits each, from as many mixtures of the same shingle hashes. Texts that are
+alike by chance come close in one word, seldom in the others, so that several words find more of what is alike within
+few bits a word, and fewer false links: in each word, texts that agree in it are one class, of which that of the least
+node stands for all; classes link if they differ in at most max_bits bits of the word, and those that stand for them in at
+most check_bits of the next two words. One word alone, the default, has no others to check.
+
+A node is a fingerprint (of several words: their hash), never a doc_id: ids may be null or repeated, fingerprints are
+not. Components are found by alternating star contractions over those links, each round a written table: the links and
 labels stay distributed. A contraction joins links with one minimum a node, so a node of very many links is a skewed
 join side that Spark may split, never one task's list.
 
@@ -38,6 +45,9 @@ SHINGLE = 3
 SEED = 42
 MAX_BITS = 2
 FANOUT = 16
+#: Of the two words that follow, of 128 bits, so many may differ.
+CHECK_BITS = 20
+CHECK_WORDS = 2
 #: Groups of more nodes than this are split by a further block.
 GROUP_NODES = 20_000
 MAX_ROUNDS = 60
@@ -45,36 +55,62 @@ MAX_ROUNDS = 60
 _ALL = (1 << 64) - 1
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """The 64-bit fingerprint of a text in UTF-8."""
+def _shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
     words = text.lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     if len(words) <= shingle:
-        hashes = np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
-    else:
-        joined, digest = b" ".join(words), xxhash.xxh64_intdigest
-        ends = np.cumsum([len(w) + 1 for w in words]) - 1
-        starts = np.concatenate(([0], ends[:-shingle] + 1)).tolist()
-        cuts = zip(starts, ends[shingle - 1 :].tolist(), strict=True)
-        hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in cuts), np.uint64, len(words) - shingle + 1)
-    ones = np.zeros(64, np.int64)
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
+    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = np.concatenate(([0], ends[:-shingle] + 1)).tolist()
+    cuts = zip(starts, ends[shingle - 1 :].tolist(), strict=True)
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in cuts), np.uint64, len(words) - shingle + 1)
+
+
+def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
+    """The hashes that a further word is made of; those of word 0 are the shingles' own."""
+    if not word:
+        return hashes
+    with np.errstate(over="ignore"):
+        z = hashes + np.uint64(0x9E3779B97F4A7C15 * word & _ALL)
+        z = (z ^ z >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ z >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return z ^ z >> np.uint64(31)
+
+
+def fingerprint_words(text: bytes, shingle: int = SHINGLE, words: int = 1) -> list[int]:
+    """The fingerprint of a text in UTF-8, in words of 64 bits."""
+    hashes = _shingle_hashes(text, shingle)
+    ones = np.zeros((words, 64), np.int64)
     for at in range(0, len(hashes), 1 << 16):
-        octets = hashes[at : at + (1 << 16)].astype("<u8", copy=False).view(np.uint8)
-        ones += np.unpackbits(octets, bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+        part = hashes[at : at + (1 << 16)]
+        for word in range(words):
+            octets = _mixed(part, word).astype("<u8", copy=False).view(np.uint8)
+            ones[word] += np.unpackbits(octets, bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), axis=1, bitorder="little").view("<u8").ravel().tolist()
 
 
-def _fingerprint_batches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """The 64-bit fingerprint of a text in UTF-8."""
+    return fingerprint_words(text, shingle)[0]
+
+
+def _fingerprint_batches(batches: Iterator[pa.RecordBatch], shingle: int, names: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = np.array([fingerprint(t, shingle) for t in text_bytes(batch.column(1))], np.uint64)
-        yield pa.record_batch([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "bits"])
+        texts = text_bytes(batch.column(1))
+        found = np.array([fingerprint_words(t, shingle, len(names)) for t in texts], np.uint64).reshape(-1, len(names))
+        yield pa.record_batch([batch.column(0), *(pa.array(w) for w in np.ascontiguousarray(found.T).view(np.int64))], ["doc_id", *names])
+
 
+def _names(words: int) -> list[str]:
+    return ["bits", *(f"bits{n}" for n in range(1, words))]
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and bits, the fingerprint as a signed long."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_batches(rows, lambda b: _fingerprint_batches(b, shingle), "doc_id long, bits long")
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, words: int = 1) -> DataFrame:
+    """doc_id and bits, bits1, ...: the words of the fingerprint as signed longs."""
+    rows, names = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), _names(words)
+    return map_batches(rows, lambda b: _fingerprint_batches(b, shingle, names), ", ".join(f"{n} long" for n in ["doc_id", *names]))
 
 
 def gray_rank(bits: np.ndarray) -> np.ndarray:
@@ -105,9 +141,11 @@ class GrayIndex:
                 mask = mask & ~np.repeat(shared[depth - 1][0], fanout)[: len(mask)]
             self.levels.append((mask, pattern))
 
-    def links(self, max_bits: int, chunk: int = 1024) -> Iterator[tuple[int, int]]:
-        """Pairs of positions (in the order given) that differ in at most max_bits bits: a spanning forest of them all."""
+    def links(self, max_bits: int, chunk: int = 1024, checks: np.ndarray | None = None, check_bits: int = 0) -> Iterator[tuple[int, int]]:
+        """Pairs of positions (in the order given) that differ in at most max_bits bits, and in at most check_bits of
+        their rows of checks: a spanning forest of them all."""
         n = len(self.bits)
+        checks = None if checks is None else checks[self.order]
         root = np.arange(n)
         for at in range(0, n, chunk):
             query = np.arange(at, min(n, at + chunk))
@@ -124,7 +162,11 @@ class GrayIndex:
                 near = (far <= max_bits) & (uniform[depth][node] != root[q])
                 q, node, far = q[near], node[near], far[near]
             later = node > q
-            for a, b in zip(q[later].tolist(), node[later].tolist(), strict=True):
+            q, node = q[later], node[later]
+            if checks is not None:
+                near = np.bitwise_count(checks[q] ^ checks[node]).sum(1) <= check_bits
+                q, node = q[near], node[near]
+            for a, b in zip(q.tolist(), node.tolist(), strict=True):
                 x, y = _find(root, a), _find(root, b)
                 if x != y:
                     root[max(x, y)] = min(x, y)
@@ -158,24 +200,30 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _link_batches(batches: Iterator[pa.RecordBatch], max_bits: int, fanout: int) -> Iterator[pa.RecordBatch]:
-    """Rows (mask, value, bits) sorted by the first two: the links of each group. A group may span batches."""
+def _link_batches(batches: Iterator[pa.RecordBatch], max_bits: int, check_bits: int, fanout: int) -> Iterator[pa.RecordBatch]:
+    """Rows (word, mask, value, bits, node, checks) sorted by the first three: the links of each group. A group may span batches."""
     held: list[np.ndarray] = []
 
     def search(rows: np.ndarray) -> pa.RecordBatch | None:
-        pairs = list(GrayIndex(rows[:, 2].copy().view(np.uint64), fanout).links(max_bits)) if len(rows) > 1 else []
+        if len(rows) < 2:
+            return None
+        bits, checks = rows[:, 3].copy().view(np.uint64), rows[:, 5:].copy().view(np.uint64) if rows.shape[1] > 5 else None
+        # what fits one upper node has nothing to prune by: most groups end here
+        if len(rows) <= fanout and (np.bitwise_count(bits[:, None] ^ bits) <= max_bits).sum() == len(rows):
+            return None
+        pairs = list(GrayIndex(bits, fanout).links(max_bits, checks=checks, check_bits=check_bits))
         if not pairs:
             return None
-        a, b = rows[[p[0] for p in pairs], 2], rows[[p[1] for p in pairs], 2]
+        a, b = rows[[p[0] for p in pairs], 4], rows[[p[1] for p in pairs], 4]
         return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["u", "v"])
 
     for batch in batches:
         if not len(batch):
             continue
         rows = np.stack([c.to_numpy() for c in batch.columns], 1)
-        cuts = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(1)) + 1
+        cuts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(1)) + 1
         parts = np.split(rows, cuts)
-        if held and (held[-1][-1, :2] != rows[0, :2]).any():
+        if held and (held[-1][-1, :3] != rows[0, :3]).any():
             if (found := search(np.concatenate(held))) is not None:
                 yield found
             held = []
@@ -189,24 +237,46 @@ def _link_batches(batches: Iterator[pa.RecordBatch], max_bits: int, fanout: int)
         yield found
 
 
-def links(nodes: DataFrame, max_bits: int = MAX_BITS, fanout: int = FANOUT, group_nodes: int = GROUP_NODES) -> DataFrame:
-    """(u, v), u < v: pairs of distinct fingerprints (bits) that connect whatever nodes connect within max_bits."""
+def _classes(nodes: DataFrame, names: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """(word, bits, node, check0, ...), a row for each value of each word, and the links (u, v) of nodes that agree in a word."""
+    if len(names) == 1:
+        return nodes.select(F.lit(0).cast("long").alias("word"), "bits", "node"), None
+    checks = min(CHECK_WORDS, len(names) - 1)
+
+    def of(word: int):
+        others = (F.col(names[(word + 1 + n) % len(names)]).alias(f"check{n}") for n in range(checks))
+        return F.struct(F.lit(word).cast("long").alias("word"), F.col(names[word]).alias("bits"), F.struct("node", *others).alias("one"))
+
+    rows = nodes.select(F.explode(F.array(*(of(w) for w in range(len(names))))).alias("of")).select("of.*")
+    found = materialise(rows.groupBy("word", "bits").agg(F.min("one").alias("one"), F.count(F.lit(1)).alias("n")), "classes")
+    shared = found.where("n > 1").select("word", "bits", F.col("one.node").alias("u"))
+    agree = rows.select("word", "bits", F.col("one.node").alias("v")).join(shared, ["word", "bits"]).where("u <> v").select("u", "v").distinct()
+    return found.select("word", "bits", "one.*"), agree
+
+
+def links(
+    nodes: DataFrame, max_bits: int = MAX_BITS, words: int = 1, check_bits: int = CHECK_BITS, fanout: int = FANOUT, group_nodes: int = GROUP_NODES
+) -> DataFrame:
+    """(u, v), u < v: pairs of nodes (node, bits, bits1, ...) that connect whatever nodes the links of the fingerprints connect."""
     if group_nodes < 2 << max_bits:
         raise ValueError("a group has at least as many nodes as max_bits + 1 bits can tell apart")
+    classes, agree = _classes(nodes, _names(words))
+    held = [c for c in classes.columns if c not in ("word", "bits")]
+    group = ["word", "mask", "value"]
 
     def blocked(rows: DataFrame, masks: list[int]) -> DataFrame:
         keys = F.explode(F.array(*(F.lit(_signed(m)).cast("long") for m in masks)))
-        return rows.select("bits", keys.alias("mask")).withColumn("value", F.col("bits").bitwiseAND(F.col("mask")))
+        return rows.select("word", "bits", *held, keys.alias("mask")).withColumn("value", F.col("bits").bitwiseAND(F.col("mask")))
 
-    rows, done = blocked(nodes, _block_masks(_ALL, max_bits + 1)), []
-    while True:  # each round fixes a part of the bits left: a group of few bits left has few nodes
-        sizes = rows.groupBy("mask", "value").count().where(F.col("count") > group_nodes)
-        hot = materialise(sizes.select("mask", "value"), "hot-blocks")
+    rows, done = blocked(classes, _block_masks(_ALL, max_bits + 1)), []
+    while True:  # each round fixes a part of the bits left: a group of few bits left has few values
+        sizes = rows.groupBy(*group).count().where(F.col("count") > group_nodes)
+        hot = materialise(sizes.select(*group), "hot-blocks")
         masks = [r["mask"] for r in hot.select("mask").distinct().collect()]  # no more than blocks, not nodes
         if not masks:
             break
-        done.append(rows.join(hot, ["mask", "value"], "left_anti"))
-        own = rows.join(hot, ["mask", "value"], "left_semi")
+        done.append(rows.join(hot, group, "left_anti"))
+        own = rows.join(hot, group, "left_semi")
         split = []
         for m in masks:
             free = _ALL & ~(m & _ALL)
@@ -216,11 +286,12 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, fanout: int = FANOUT, grou
             rows = rows.union(more)
         rows = materialise(rows, "split-blocks")
     done.append(rows)
-    every = done[0].select("mask", "value", "bits")
+    every = done[0].select(*group, "bits", *held)
     for more in done[1:]:
-        every = every.union(more.select("mask", "value", "bits"))
-    dealt = every.repartition("mask", "value").sortWithinPartitions("mask", "value")
-    return map_batches(dealt, lambda b: _link_batches(b, max_bits, fanout), "u long, v long", ordered=True).distinct()
+        every = every.union(more.select(*group, "bits", *held))
+    dealt = every.repartition(*group).sortWithinPartitions(*group)
+    found = map_batches(dealt, lambda b: _link_batches(b, max_bits, check_bits, fanout), "u long, v long", ordered=True).distinct()
+    return found if agree is None else found.union(agree)
 
 
 def _sums(edges: DataFrame) -> tuple:
@@ -246,15 +317,17 @@ def connected(edges: DataFrame) -> DataFrame:
     raise RuntimeError(f"no fixed point after {MAX_ROUNDS} rounds")
 
 
-def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE, **options) -> DataFrame:
+def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE, words: int = 1, **options) -> DataFrame:
     """doc_id, bits, component_id: the smallest doc_id that is linked to a document, directly or over others."""
-    prints = materialise(fingerprints(docs, shingle), "fingerprints")
-    nodes = materialise(prints.groupBy("bits").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = connected(links(nodes.select("bits"), max_bits, **options))
-    rooted = nodes.join(roots, nodes["bits"] == roots["node"], "left").select("bits", "least", F.coalesce("root", "bits").alias("of_root"))
+    names = _names(words)
+    node = F.col("bits") if words == 1 else F.xxhash64(*names)
+    prints = materialise(fingerprints(docs, shingle, words).withColumn("node", node), "fingerprints")
+    nodes = materialise(prints.groupBy("node", *names).agg(F.min("doc_id").alias("least")), "nodes")
+    roots = connected(links(nodes.select("node", *names), max_bits, words, **options)).withColumnRenamed("node", "linked")
+    rooted = nodes.join(roots, nodes["node"] == roots["linked"], "left").select("node", "least", F.coalesce("root", "node").alias("of_root"))
     least = rooted.groupBy(F.col("of_root").alias("least_root")).agg(F.min("least").alias("component_id"))
-    of = rooted.join(least, rooted["of_root"] == least["least_root"]).select(F.col("bits").alias("of_bits"), "component_id")
-    return prints.join(of, prints["bits"] == of["of_bits"]).select("doc_id", "bits", "component_id")
+    of = rooted.join(least, rooted["of_root"] == least["least_root"]).select(F.col("node").alias("of_node"), "component_id")
+    return prints.join(of, prints["node"] == of["of_node"]).select("doc_id", "bits", "component_id")
 
 
 def fingerprint_report(docs: DataFrame, **options) -> DataFrame:
