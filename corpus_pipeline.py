@@ -7,7 +7,7 @@ read, go as soon as its own is written.
 
   language_id     documents whose language is unknown or rejected go
   line_dedup      repeated lines go from texts, n_chars follows; a document left without a word by that goes
-  near_dedup      of each component, the document of the smallest doc_id stays; fingerprints link at NEAR_BITS differences
+  near_dedup      of each component, the document of the smallest doc_id stays; fingerprints are those of NEAR
   decontaminate   documents in which a window of a benchmark item occurs go
   pack            what is left is packed
 
@@ -23,8 +23,9 @@ from weir.llm import contamination, language, line_dedup, packing, simhash
 from weir.llm.common import fold, without
 from weir.sources.shared import remove, scope, scratch
 
-#: More than the operator's two: no false links at four on the test tables, and more of the near copies (see the README).
-NEAR_BITS = 4
+#: For texts whose sets of five-word shingles have a similarity of 0.8 or more: a word that is changed touches fewer shingles
+#: of two words, and of eight fingerprint words one is likely to come as close as four bits (recall: see the README).
+NEAR = {"shingle": 2, "words": 8, "max_bits": 4, "check_bits": 20}
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -40,7 +41,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    of = simhash.near_duplicates(docs.select("doc_id", "text"), NEAR_BITS)
+    of = simhash.near_duplicates(docs.select("doc_id", "text"), **NEAR)
     # a document goes if its component has a smaller doc_id; rows that share the smallest stay, each a row of that document
     return without(docs.select(*COLUMNS), of.where("doc_id > component_id"))
 

@@ -47,7 +47,7 @@ def test_each_stage_takes_its_operators_decision(spark, documents_table):
     assert all(kept[d]["text"] == r["text"] for d, r in lines.items() if d in kept)
     assert all(not (lines[d]["text"].split()) for d in lines.keys() - kept.keys())
     assert all(r["n_chars"] == len(r["text"]) for r in kept.values())
-    groups = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs, pipeline.NEAR_BITS).collect()}
+    groups = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs, **pipeline.NEAR).collect()}
     assert ids(pipeline.near_dedup(spark, docs, str(DATA))) == set(groups.values())
     bad = {r["doc_id"] for r in contamination.contamination(docs, spark.read.parquet(f"{DATA}/benchmark.parquet")).where("contaminated").collect()}
     assert bad and ids(pipeline.decontaminate(spark, docs, str(DATA))) == ids(docs) - bad
