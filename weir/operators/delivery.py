@@ -27,15 +27,31 @@ def consumer_lag(partitions: DataFrame) -> DataFrame:
     return known.groupBy("topic").agg(F.sum("consumer_lag").alias("lag"))
 
 
+#: Buckets of values by their logarithm, so many for each doubling.
+BUCKETS = 64
+
+
 def latency_summary(latencies: DataFrame, column: str = "ms") -> DataFrame:
     """Count, p50, p99 and max of a column, each percentile the value at place floor(n * p) from the smallest.
 
-    Equal values are counted first, so that what meets in one task is distinct values, not rows.
+    Equal values are counted first, then buckets of close values, of which there is a bounded number. Only the distinct
+    values of the two buckets that hold the percentiles are put in order.
     """
-    counts = latencies.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("k"))
-    ranked = counts.select("v", F.sum("k").over(Window.orderBy("v")).alias("upto"), F.sum("k").over(Window.partitionBy()).alias("n"))
-    at = lambda p: F.min(F.when(F.col("upto") > F.least(F.floor(F.col("n") * p), F.col("n") - 1), F.col("v")))
-    return ranked.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), at(0.5).alias("p50"), at(0.99).alias("p99"), F.max("v").alias("max"))
+    v, asked = F.col(column), {"p50": 0.5, "p99": 0.99}
+    bucket = F.signum(v).cast("double") * F.floor(F.log2(F.abs(v).cast("double") + 1) * BUCKETS)
+    counts = latencies.where(v.isNotNull()).groupBy(v.alias("v"), bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("k"))
+    buckets = counts.groupBy("bucket").agg(F.sum("k").alias("k"))
+    upto, n = F.sum("k").over(Window.orderBy("bucket")), F.sum("k").over(Window.partitionBy())
+    places = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), F.least(F.floor(F.col("n") * p), F.col("n") - 1).alias("place")) for name, p in asked.items())))
+    ranked = buckets.select("bucket", (upto - F.col("k")).alias("before"), upto.alias("upto"), n.alias("n"))
+    holding = ranked.select("bucket", "before", "upto", places.alias("of")).where("before <= of.place AND of.place < upto").select("bucket", "before", "of.*")
+    inside = counts.join(F.broadcast(holding), "bucket")  # a row a percentile
+    reached = F.col("before") + F.sum("k").over(Window.partitionBy("name").orderBy("v"))
+    found = inside.select("name", "v", "place", reached.alias("reached")).where("reached > place").groupBy("name").agg(F.min("v").alias("v"))
+    whole = counts.agg(F.sum("k").alias("n"), F.max("v").alias("max"))
+    rows = found.select(F.lit(None).cast("long").alias("n"), "name", "v").union(whole.select("n", F.lit("max"), "max"))
+    one = lambda name: F.max(F.when(F.col("name") == name, F.col("v"))).alias(name)
+    return rows.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), one("p50"), one("p99"), one("max"))
 
 
 def distinct_rows(rows: DataFrame, *ignored: str) -> DataFrame:
