@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from weir.llm import common
 from weir.llm import interpolation as lm
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -84,8 +85,10 @@ class Brute:
 EDGES = [(900, None), (901, ""), (902, " \n\t"), (903, "unseen words only"), (None, "a b c"), (7, "a b"), (7, "a b"), (904, "a b " * 20_000)]
 
 
-@pytest.mark.parametrize(("block", "shard"), [(lm.BLOCK_BYTES, lm.SHARD_BYTES), (500, 300)])
-def test_equals_brute_force(documents, widened, block, shard):
+@pytest.mark.parametrize(("block", "shard", "partition"), [(None, lm.SHARD_BYTES, None), (500, 300, None), (500, 300, 10_000)])
+def test_equals_brute_force(documents, widened, block, shard, partition, monkeypatch):
+    if partition:  # more partitions than the session's setting
+        monkeypatch.setattr(common, "PARTITION_BYTES", partition)
     rows = corpus() + EDGES
     brute = Brute(rows)
     found = lm.interpolated_scores(widened(documents(rows)), block_bytes=block, shard_bytes=shard).collect()
@@ -129,3 +132,8 @@ def test_packed_integers():
     keys = np.sort(rng.integers(0, 2**64 - 1, 500, dtype=np.uint64))
     cuts = lm._cuts(keys, 7)
     assert all((int(k) * 7) >> 64 == s for s in range(7) for k in keys[cuts[s] : cuts[s + 1]])
+
+
+def test_blocks_grow_with_the_shards():
+    assert lm.block_size(1) == lm.block_size(10_000) == lm.BLOCK_BYTES
+    assert lm.BLOCK_BYTES < lm.block_size(50_000) == 50_000 * lm.MESSAGE_BYTES < lm.block_size(lm.MAX_SHARDS) == lm.MAX_BLOCK_BYTES

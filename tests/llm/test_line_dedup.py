@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from weir.llm import line_dedup
+from weir.llm import common, line_dedup
 from weir.llm.line_dedup import CuckooFilter, LineIndex, apply_index, line_digests
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -78,7 +78,10 @@ def test_clashing_columns_stay_as_they_are(documents, widened):
     assert sorted((r["doc_id"], r["n_dropped"], r["text"]) for r in found.collect()) == sorted((d, k, t) for d, _, k, t in brute(rows))
 
 
-def test_dealt_filters_split_a_hot_shard(documents):
+@pytest.mark.parametrize("partition", [None, 500])
+def test_dealt_filters_split_a_hot_shard(documents, partition, monkeypatch):
+    if partition:  # more partitions than the session's setting
+        monkeypatch.setattr(common, "PARTITION_BYTES", partition)
     rows = [(d, "A line that nearly every one of the documents holds, word for word") for d in range(300)] + corpus(7, 40)
     df = documents(rows)
     index = LineIndex(df.sparkSession, shards=3).insert(df)

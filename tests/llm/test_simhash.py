@@ -235,6 +235,19 @@ def test_components_of_several_words(spark, documents, words, group_nodes):
     assert len({find(i) for i in range(len(texts))}) < 0.6 * len(texts)
 
 
+def test_partitions_follow_the_size(spark, documents, monkeypatch):
+    from weir.llm import common
+
+    table = spark.range(100_000)
+    assert common.by_size(spark, 1) is None and common.dealt(table, 1, "id") is table
+    monkeypatch.setattr(common, "PARTITION_BYTES", 1000)
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions")) + 5
+    assert common.by_size(spark, 1000 * wanted) == wanted and common.dealt(table, 1000 * wanted, "id").rdd.getNumPartitions() == wanted
+    assert common.by_size(spark, 1 << 60) == common.MAX_PARTITIONS
+    rows = list(enumerate(edited(random.Random(4), 120)))
+    check_documents(simhash.fingerprint_report(documents(rows)), rows)
+
+
 def test_many_texts_that_agree_in_a_word_are_one_class(spark, documents):
     base = " ".join(f"w{i}" for i in range(400))
     texts = [f"{base} x{i}" for i in range(300)] + ["other words altogether, that is to say none of those"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.operators.spread import as_bytes, estimated_bytes, spread
@@ -71,3 +71,29 @@ def input_bytes(docs: DataFrame) -> int:
     if estimate < _KNOWN_BYTES and "Join" not in docs._jdf.queryExecution().optimizedPlan().toString():
         return estimate
     return docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+
+
+#: What a partition of an exchange is to hold at most, and how many there are at most.
+PARTITION_BYTES = 256 << 20
+MAX_PARTITIONS = 200_000
+
+
+def by_size(spark: SparkSession, size: int) -> int | None:
+    """How many partitions an exchange of so many bytes takes, if more than the session's setting; None if that will do."""
+    wanted = min(MAX_PARTITIONS, -(-size // PARTITION_BYTES))
+    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def dealt(df: DataFrame, size: int, *keys: str) -> DataFrame:
+    """df dealt out by keys to as many partitions as its bytes ask for; as it is where the session's setting will do.
+
+    A grouping by the same keys that follows takes these partitions and moves nothing.
+    """
+    n = by_size(df.sparkSession, size)
+    return df.repartition(n, *keys) if n else df
+
+
+def moved_bytes(df: DataFrame, copies: int = 1) -> int:
+    """The bytes of a table whose rows are copied so often, from what the plan knows; 0 if it knows nothing."""
+    estimate = estimated_bytes(df)
+    return estimate * copies if estimate < _KNOWN_BYTES else 0

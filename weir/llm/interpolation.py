@@ -36,9 +36,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import input_bytes, map_batches, materialise, text_bytes
+from weir.llm.common import dealt, input_bytes, map_batches, materialise, text_bytes
 
+#: Text of a block: the least, and the most where there are so many shards that a block would have few keys for each.
 BLOCK_BYTES = 8 << 20
+MAX_BLOCK_BYTES = 64 << 20
+#: Bytes of text that give a shard so many keys of a block that its message is mostly keys: 64, of about nine bytes of text.
+MESSAGE_BYTES = 64 * 9
 #: Input file bytes whose keys go to one shard, as long as that makes at most MAX_SHARDS.
 SHARD_BYTES = 8 << 20
 MAX_SHARDS = 200_000
@@ -291,25 +295,34 @@ def fold_kinds(modulus: int = 7, held_out: int = 2, folds: int = 8, fold: int =
     return F.when(F.coalesce(crc % modulus == held_out, F.lit(False)), SCORED).when(F.coalesce(own, F.lit(False)), FOLD).otherwise(TRAINED)
 
 
-def interpolated_scores(docs: DataFrame, kinds: Column | None = None, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def block_size(shards: int) -> int:
+    """Bytes of text to a block where its keys go to so many shards."""
+    return min(MAX_BLOCK_BYTES, max(BLOCK_BYTES, MESSAGE_BYTES * shards))
+
+
+def interpolated_scores(docs: DataFrame, kinds: Column | None = None, block_bytes: int | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Per document: held_out, n_tokens, n_known, train_tokens, base_score (add-one unigrams) and score.
 
-    kinds tells for each row whether it is SCORED only, TRAINED, or TRAINED and in the FOLD for the weights.
+    kinds tells for each row whether it is SCORED only, TRAINED, or TRAINED and in the FOLD for the weights. Blocks
+    grow with the number of shards, that is with the input, if block_bytes does not say otherwise.
     """
     kinds = fold_kinds() if kinds is None else kinds
-    shards = max(1, min(MAX_SHARDS, -(-input_bytes(docs) // shard_bytes)))
+    size = input_bytes(docs)
+    shards = max(1, min(MAX_SHARDS, -(-size // shard_bytes)))
+    block_bytes = block_size(shards) if block_bytes is None else block_bytes
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), kinds.cast("int").alias("kind"), F.col("text").cast("string").alias("text"))
     blocks = materialise(map_batches(rows, lambda b: _block_batches(b, block_bytes), "block long, fold boolean, payload binary"), "blocks")
     schema = "shard int, gram int, block long, keys binary, counts binary, fold binary"
     keys = map_batches(blocks.select("block", "payload"), lambda b: _key_batches(b, shards), schema)
-    answers = materialise(keys.groupBy("shard", "gram").applyInArrow(_add_up, _ANSWER), "answers")
+    answers = materialise(dealt(keys, 2 * size, "shard", "gram").groupBy("shard", "gram").applyInArrow(_add_up, _ANSWER), "answers")
     sums = answers.where("block is null and gram = 1").agg(F.sum("n"), F.sum("n_fold"), F.sum("types")).first()
     n, n_fold, types = (int(x or 0) for x in sums)
     answers = answers.where("block is not null").select("block", "gram", "shard", "counts", "fold")
     of_fold = answers.join(blocks.where("fold").select("block"), "block", "left_semi")
-    learned = blocks.where("fold").groupBy("block").cogroup(of_fold.groupBy("block"))
+    by_block = lambda df: dealt(df, size, "block").groupBy("block")
+    learned = by_block(blocks.where("fold")).cogroup(by_block(of_fold))
     learned = learned.applyInArrow(_histogram(n - n_fold), "class long, f2 long, f1 long, n long")
     histogram = learned.groupBy("class", "f2", "f1").agg(F.sum("n").alias("n")).collect()  # bounded by the grid
     weights = learn_weights(np.array(sorted(map(tuple, histogram)), np.int64).reshape(-1, 4), types)
-    scored = blocks.select("block", "payload").groupBy("block").cogroup(answers.drop("fold").groupBy("block"))
+    scored = by_block(blocks.select("block", "payload")).cogroup(by_block(answers.drop("fold")))
     return scored.applyInArrow(_score_blocks(weights, n, types), _SCORES)

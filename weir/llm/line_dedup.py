@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm.common import map_batches, text_bytes
+from weir.llm.common import dealt, map_batches, text_bytes
 from weir.sources.shared import scratch
 
 MIN_CHARS = 40
@@ -49,6 +49,8 @@ MAX_HOT_KEYS = 10_000
 ACTIVE_BYTES = 24
 #: Lines of a shard that meet its filter in one task, where filters are dealt out.
 ROWS_PER_TASK = 2_000_000
+#: Bytes of a line's hash and document where they meet.
+REFERENCE_BYTES = 40
 #: Columns of apply_index for its own use.
 OF_DOC, DROP = "__weir_of_doc", "__weir_drop"
 
@@ -307,7 +309,7 @@ class LineIndex:
         parts = self.counts.groupBy(F.col("shard").alias("of")).agg(parts.alias("parts"))
         rows = rows.join(parts, F.col("shard") == F.col("of")).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
         rows = rows.select("shard", "salt", "h1", "h2", "doc_id")
-        dealt = self.filters.join(parts, F.col("shard") == F.col("of")).select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), "bits")
+        filters = self.filters.join(parts, F.col("shard") == F.col("of")).select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), "bits")
 
         def pass_lines(key: tuple, lines: pa.Table, filters: pa.Table) -> pa.Table:
             lines = lines.select(["h1", "h2", "doc_id"])
@@ -316,7 +318,8 @@ class LineIndex:
             held = CuckooFilter.from_bytes(filters.column("bits")[0].as_py()).contains(lines.column("h2").to_numpy().view(np.uint64))
             return lines.filter(pa.array(held))
 
-        return rows.groupBy("shard", "salt").cogroup(dealt.groupBy("shard", "salt")).applyInArrow(pass_lines, "h1 long, h2 long, doc_id long")
+        rows, filters = (dealt(x, REFERENCE_BYTES * self.n_references, "shard", "salt").groupBy("shard", "salt") for x in (rows, filters))
+        return rows.cogroup(filters).applyInArrow(pass_lines, "h1 long, h2 long, doc_id long")
 
     def dropped(self, docs: DataFrame, max_hot_keys: int = MAX_HOT_KEYS, **options) -> DataFrame:
         """(doc_id, drop: the keys' halves) of the documents that lose lines, after the exact check."""

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import map_batches, materialise, text_bytes
+from weir.llm.common import by_size, map_batches, materialise, moved_bytes, text_bytes
 
 SHINGLE = 3
 SEED = 42
@@ -289,8 +289,9 @@ def links(
     every = done[0].select(*group, "bits", *held)
     for more in done[1:]:
         every = every.union(more.select(*group, "bits", *held))
-    dealt = every.repartition(*group).sortWithinPartitions(*group)
-    found = map_batches(dealt, lambda b: _link_batches(b, max_bits, check_bits, fanout), "u long, v long", ordered=True).distinct()
+    n = by_size(nodes.sparkSession, moved_bytes(nodes, words * (max_bits + 1)))
+    grouped = (every.repartition(n, *group) if n else every.repartition(*group)).sortWithinPartitions(*group)
+    found = map_batches(grouped, lambda b: _link_batches(b, max_bits, check_bits, fanout), "u long, v long", ordered=True).distinct()
     return found if agree is None else found.union(agree)
 
 
