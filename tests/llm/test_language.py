@@ -194,6 +194,37 @@ def test_copies_do_not_thin_a_label(documents):
     assert {k: len(set(v)) for k, v in by.items()} == {k: len(v) for k, v in by.items()} == {"en": 40, "fr": 1, "de": 40}
 
 
+def test_learning_takes_the_room_of_a_block_beside_its_result():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = [f"word {n} of a short text" for n in range(3000)]
+    batch = pa.record_batch([pa.array(["en"] * len(texts)), pa.array(texts)], ["lang", "text"])
+    language.normalise("a"), gram_counts([b"a"], language.DIMS, language.SIZES)
+    room = language.BLOCK_ROWS * language.DIMS * 4  # of a block's counts
+
+    def peak(call):
+        tracemalloc.start()
+        try:
+            return call(), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    made, most = peak(lambda: list(language._vector_batches(iter([batch]), language.DIMS)))
+    assert most < 4 * room
+    table = pa.Table.from_batches(made)
+    assert table.num_rows == len(texts) and table.column("lang").to_pylist() == ["en"] * len(texts)
+    assert table.column("pieces").to_pylist() == [language.pieces(language.normalise(t)) for t in texts]
+    counts, most = peak(lambda: language._matrix(table.column("counts"), language.DIMS))
+    assert most < counts.nbytes + room
+    assert np.array_equal(counts, gram_counts([language.normalise(t) for t in texts], language.DIMS, language.SIZES))
+    idf = np.linspace(0.05, 3, language.DIMS, dtype=np.float32)
+    vectors, most = peak(lambda: language._vectors(counts, idf))
+    assert most < counts.nbytes + 6 * room
+    assert np.array_equal(vectors, weighted(counts, idf))
+
+
 def test_every_label_is_sampled(documents):
     from weir.llm.features import labelled_sample
 

@@ -45,6 +45,8 @@ REJECT_SHARE = 0.005
 #: So many held-out cosines make a floor; of a length with fewer, those of the nearest lengths are taken too.
 FLOOR_COSINES = 30
 LENGTHS = 32
+#: Texts whose counts or vectors are made at once.
+BLOCK_ROWS = 256
 #: Bytes up to which pieces of learned texts are measured; longer ones are measured whole.
 MAX_PIECE = 2048
 TEMPERATURE = 0.05
@@ -64,19 +66,18 @@ class LanguageModel:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """(language, score, rejected) of each text."""
-        normal = [normalise(t) for t in texts]
         found: list[tuple[str, float, bool]] = [(UNKNOWN, 0.0, True)] * len(texts)
         if not self.languages:
             return found
-        for at in range(0, len(texts), 256):
-            counts = gram_counts(normal[at : at + 256], len(self.idf), SIZES)
+        for at in range(0, len(texts), BLOCK_ROWS):
+            counts = gram_counts([normalise(t) for t in texts[at : at + BLOCK_ROWS]], len(self.idf), SIZES)
             cosines = weighted(counts, self.idf) @ self.centroids.T
             best = np.stack([cosines[:, self.of == i].max(1) for i in range(len(self.languages))], 1)
             top = best.argmax(1)
             nearest = best[np.arange(len(best)), top]
             score = 1 / np.exp((best - nearest[:, None]) / TEMPERATURE).sum(1)
             far = nearest < self.floor[_length_class(counts, len(self.floor))]
-            for i, text in enumerate(texts[at : at + 256]):
+            for i, text in enumerate(texts[at : at + BLOCK_ROWS]):
                 if text and any(map(str.isalpha, text)):
                     found[at + i] = (self.languages[top[i]], float(score[i]), bool(far[i]))
         return found
@@ -121,14 +122,28 @@ def floors(lengths: np.ndarray, cosines: np.ndarray) -> np.ndarray:
 
 def _vector_batches(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [normalise(t) for t in batch.column(1).to_pylist()]
-        rows = [row.astype("<u2").tobytes() for row in np.minimum(gram_counts(texts, dims, SIZES), 65_535)]
-        short = pa.array([pieces(t) for t in texts], pa.list_(pa.binary()))
-        yield pa.record_batch([batch.column(0), pa.array(rows, pa.binary()), short], ["lang", "counts", "pieces"])
+        # a batch of short texts has many, and each has dims counts
+        for at in range(0, batch.num_rows, BLOCK_ROWS):
+            some = batch.slice(at, BLOCK_ROWS)
+            texts = [normalise(t) for t in some.column(1).to_pylist()]
+            rows = [row.astype("<u2").tobytes() for row in np.minimum(gram_counts(texts, dims, SIZES), 65_535)]
+            short = pa.array([pieces(t) for t in texts], pa.list_(pa.binary()))
+            yield pa.record_batch([some.column(0), pa.array(rows, pa.binary()), short], ["lang", "counts", "pieces"])
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    return np.stack([np.frombuffer(x, "<u2") for x in column.to_pylist()]).astype(np.float32)
+def _matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
+    counts = np.empty((len(column), dims), np.float32)
+    for row, x in zip(counts, column, strict=True):
+        row[:] = np.frombuffer(x.as_buffer(), "<u2")
+    return counts
+
+
+def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """weighted() of many rows, with the room of a block beside the result."""
+    vectors = np.empty_like(counts)
+    for at in range(0, len(counts), BLOCK_ROWS):
+        vectors[at : at + BLOCK_ROWS] = weighted(counts[at : at + BLOCK_ROWS], idf)
+    return vectors
 
 
 def cluster(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -159,8 +174,8 @@ def held_out_cosines(
         lengths.append(_length_class(counts[half::2], LENGTHS))
         cosines.append((vectors[half::2] @ centers.T).max(1))
         texts = [p for own in short[half::2] for p in own]
-        for at in range(0, len(texts), 256):
-            some = gram_counts(texts[at : at + 256], len(idf), SIZES)
+        for at in range(0, len(texts), BLOCK_ROWS):
+            some = gram_counts(texts[at : at + BLOCK_ROWS], len(idf), SIZES)
             lengths.append(_length_class(some, LENGTHS))
             cosines.append((weighted(some, idf) @ centers.T).max(1))
     return np.concatenate(lengths), np.concatenate(cosines)
@@ -187,7 +202,7 @@ def fit(
     per_lang = max(1, min(centroids, max_centroids // max(1, len(totals))))
 
     def frequencies(key: tuple, table: pa.Table) -> pa.Table:
-        seen = (_matrix(table.column("counts")) > 0).sum(0)
+        seen = (_matrix(table.column("counts"), dims) > 0).sum(0)
         return pa.table({"n": pa.array([table.num_rows], pa.int64()), "seen": pa.array([seen.astype("<i8").tobytes()], pa.binary())})
 
     found = vectors.select("lang", "counts").groupBy("lang").applyInArrow(frequencies, "n long, seen binary").collect()
@@ -196,14 +211,15 @@ def fit(
     idf = np.log((texts + 1) / (seen + 1)).astype(np.float32) + np.float32(0.05)
 
     def clusters(key: tuple, table: pa.Table) -> pa.Table:
-        counts = _matrix(table.column("counts"))
-        vectors = weighted(counts, idf)
-        used = vectors.any(1)
+        counts = _matrix(table.column("counts"), dims)
+        used = counts.any(1)
         if not used.any():
             return pa.table({"lang": pa.array([], pa.string()), "centroids": pa.array([], pa.binary()), "lengths": pa.array([], pa.binary()), "cosines": pa.array([], pa.binary())})
-        centers = cluster(vectors[used], per_lang)
+        counts = counts[used]
+        vectors = _vectors(counts, idf)
+        centers = cluster(vectors, per_lang)
         short = [p for p, u in zip(table.column("pieces").to_pylist(), used, strict=True) if u]
-        lengths, cosines = held_out_cosines(counts[used], vectors[used], short, idf, per_lang)
+        lengths, cosines = held_out_cosines(counts, vectors, short, idf, per_lang)
         return pa.table(
             {
                 "lang": pa.array([key[0].as_py()]),
